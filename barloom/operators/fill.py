@@ -99,10 +99,15 @@ def handle_missing(
     order=IN_ORDER,
     max_rows=MAX_SERIES_ROWS,
     drop_cols: list[str] | None = None,
+    untouched: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Run the enabled policies in their fixed order; each sees what the earlier ones left."""
+    """Run the enabled policies in their fixed order; each sees what the earlier ones left.
+
+    Keys, order columns and ``untouched`` ones are never filled. ``drop_cols`` are the columns that
+    ``drop_nan`` looks at (default: every column).
+    """
     steps = enabled_policies(policies)
-    reserved = (*partition, *order)
+    reserved = (*partition, *order, *untouched)
     df = nan_to_null(df)
     if "drop_nan" in steps:
         df = drop_missing(df, drop_cols)

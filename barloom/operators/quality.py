@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.symbols import stable_bucket, strip
 from barloom.functions.times import micros
-from barloom.operators.aggregates import null_count, zero_count
+from barloom.operators.aggregates import any_of
 from barloom.operators.calendars import count_gaps, list_gaps
 from barloom.operators.combine import missing_baseline
 from barloom.operators.project import asset_mismatch, strict_failure
@@ -46,15 +46,14 @@ def quality_gate(
     seconds: float = 60, time_col: str = TIME,
 ) -> DataFrame:
     """Three checks in order: NULL keys, zero values, time gaps. One row with counts and verdict."""
-    checks = [
-        (1, "nulls", null_count(df, list(key_cols)), "null_count"),
-        (2, "zeros", zero_count(df, value_col), "zero_count"),
-        (3, "gaps", count_gaps(df, seconds, time_col=time_col), "gap_count"),
-    ]
-    found = None
-    for step, name, counted, col in checks:
-        row = counted.select(F.lit(step).alias("step"), F.lit(name).alias("check"), F.col(col).alias("n"))
-        found = row if found is None else found.unionByName(row)
+    values = df.agg(
+        F.count_if(any_of([F.col(c).isNull() for c in key_cols])).alias("nulls"),
+        F.count_if(F.col(value_col) == 0).alias("zeros"),
+    ).select(F.expr("stack(2, 1, 'nulls', nulls, 2, 'zeros', zeros) AS (step, check, n)"))
+    gaps = count_gaps(df, seconds, time_col=time_col).select(
+        F.lit(3).alias("step"), F.lit("gaps").alias("check"), F.col("gap_count").alias("n")
+    )
+    found = values.unionByName(gaps)
     failing = F.when(F.col("n") > 0, F.col("step"))
     count_of = lambda name: F.sum(F.when(F.col("check") == name, F.col("n")))
     return found.agg(
@@ -115,11 +114,11 @@ def bucket_capacity(df: DataFrame, buckets: int, cap: int, col: str = SYMBOL) ->
     per_bucket = (
         with_bucket(df.select(col).distinct(), buckets, col).groupBy("bucket").agg(F.count(F.lit(1)).alias("symbols"))
     )
-    needed = per_bucket.agg(F.ceil(F.sum("symbols") / F.lit(cap)).cast("bigint").alias("buckets_needed"))
-    return (
-        per_bucket.withColumn("over_cap", F.col("symbols") > cap)
-        .join(needed, F.lit(True))
-        .select("bucket", "symbols", "over_cap", "buckets_needed")
+    # The only window without keys: its input has at most ``buckets`` rows.
+    everything = F.sum("symbols").over(Window.partitionBy())
+    return per_bucket.select(
+        "bucket", "symbols", (F.col("symbols") > cap).alias("over_cap"),
+        F.ceil(everything / F.lit(cap)).cast("bigint").alias("buckets_needed"),
     )
 
 

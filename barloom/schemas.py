@@ -59,17 +59,10 @@ EQUITY_SCHEMA = T.StructType(
     ]
 )
 
-#: The equity provider's JSON record, every field as landed.
-EQUITY_JSON_SCHEMA = T.StructType(
-    [
-        T.StructField("date", T.StringType()),
-        *[T.StructField(c, T.DoubleType()) for c in OHLC],
-        T.StructField("volume", T.LongType()),
-        *[T.StructField(c, T.DoubleType()) for c in ["adjOpen", "adjHigh", "adjLow", "adjClose"]],
-        T.StructField("adjVolume", T.DoubleType()),
-        T.StructField("divCash", T.DoubleType()),
-        T.StructField("splitFactor", T.DoubleType()),
-    ]
-)
+#: Fields of the equity provider's JSON record. Read as text: one odd value must not fail the file.
+EQUITY_JSON_FIELDS = [
+    "date", *OHLC, "volume", "adjOpen", "adjHigh", "adjLow", "adjClose", "adjVolume", "divCash", "splitFactor",
+]
+EQUITY_JSON_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in EQUITY_JSON_FIELDS])
 
 CONTRACT_REQUIRED = ["dataSymbol", "instrumentType"]
