@@ -152,10 +152,11 @@ def resolve_range(bars: DataFrame | None, start=None, end=None, seed=None, today
         one = bars.sparkSession.range(1)
         first = _day(start)
         return one.select(F.least(first, last).alias("start_date"), last.alias("end_date"))
-    first = F.coalesce(F.date_add(F.to_date(F.max(TIME)), 1), _day(seed))
+    first = F.coalesce(F.date_add(F.to_date("_latest"), 1), _day(seed))
     # least() skips NULLs, so an unknown start needs its own branch.
     begin = F.when(first.isNotNull(), F.least(first, last))
-    return bars.agg(begin.alias("start_date"), F.max(last).alias("end_date"))
+    latest = bars.agg(F.max(TIME).alias("_latest"))
+    return latest.select(begin.alias("start_date"), last.alias("end_date"))
 
 
 def range_bounds(bars: DataFrame, start=None, end=None, seed=None, today=None):

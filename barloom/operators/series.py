@@ -114,34 +114,34 @@ def _cut_points(df, keys, order, sizes, target) -> DataFrame:
     # At most total / target <= MAX_SEGMENTS keys can be above the target, so this is small.
     large = sizes.filter(F.col("_n") > target).select(*[F.col(k).alias(v) for k, v in names.items()], "_n")
     sample = (
-        df.select(*keys, _position(df, order).alias("_at"))
+        df.select(*keys, _position(df, order).alias("_series_at"))
         .sample(fraction=min(1.0, _SAMPLES_PER_SEGMENT / target), seed=_SAMPLE_SEED)
         .join(F.broadcast(large), match_keys(names))
         .groupBy(*names.values(), "_n")
-        .agg(F.array_sort(F.collect_list("_at")).alias("_sample"))
+        .agg(F.array_sort(F.collect_list("_series_at")).alias("_cut_sample"))
     )
     parts = F.ceil(F.col("_n") / F.lit(target))
     points = F.array_sort(
         F.array_distinct(
             F.transform(
                 F.sequence(F.lit(1).cast("bigint"), parts - 1),
-                lambda i: F.get(F.col("_sample"), F.floor(i * F.size("_sample") / parts).cast("int")),
+                lambda i: F.get(F.col("_cut_sample"), F.floor(i * F.size("_cut_sample") / parts).cast("int")),
             )
         )
     )
-    block = F.ceil(F.sqrt(F.size("_points"))).cast("int")
+    block = F.ceil(F.sqrt(F.size("_cut_list"))).cast("int")
     cuts = (
-        sample.select(*names.values(), points.alias("_points"))
-        .filter(F.size("_points") > 0)
-        .withColumn("_block", block)
+        sample.select(*names.values(), points.alias("_cut_list"))
+        .filter(F.size("_cut_list") > 0)
+        .withColumn("_cut_block", block)
         .withColumn(
-            "_fine",
+            "_cut_fine",
             F.expr(
-                "transform(sequence(0, size(_points) - 1, _block),"
-                " i -> slice(_points, i + 1, _block))"
+                "transform(sequence(0, size(_cut_list) - 1, _cut_block),"
+                " i -> slice(_cut_list, i + 1, _cut_block))"
             ),
         )
-        .select(*names.values(), "_block", F.expr("transform(_fine, b -> b[0])").alias("_coarse"), "_fine")
+        .select(*names.values(), "_cut_block", F.expr("transform(_cut_fine, b -> b[0])").alias("_cut_coarse"), "_cut_fine")
     )
     # Collected on purpose: a bounded set of constants that fixes the segments for good.
     return spark.createDataFrame(cuts.collect(), cuts.schema)
@@ -151,16 +151,16 @@ def _tag(df, keys, order, cuts) -> DataFrame:
     names = {k: f"_k{i}" for i, k in enumerate(keys)}
     # Which block the row falls into, then which cut inside it; 0 lies before the first cut.
     segment = F.expr(
-        "CASE WHEN _coarse IS NULL THEN NULL WHEN _at < _coarse[0] THEN 0 ELSE"
-        " (size(filter(_coarse, c -> c <= _at)) - 1) * _block"
-        " + size(filter(_fine[size(filter(_coarse, c -> c <= _at)) - 1], c -> c <= _at))"
+        "CASE WHEN _cut_coarse IS NULL THEN NULL WHEN _series_at < _cut_coarse[0] THEN 0 ELSE"
+        " (size(filter(_cut_coarse, c -> c <= _series_at)) - 1) * _cut_block"
+        " + size(filter(_cut_fine[size(filter(_cut_coarse, c -> c <= _series_at)) - 1], c -> c <= _series_at))"
         " END"
     )
     return (
-        df.withColumn("_at", _position(df, order))
+        df.withColumn("_series_at", _position(df, order))
         .join(F.broadcast(cuts), match_keys(names), "left")
         .withColumn(SEGMENT, segment.cast("int"))
-        .drop("_at", "_block", "_coarse", "_fine", *names.values())
+        .drop("_series_at", "_cut_block", "_cut_coarse", "_cut_fine", *names.values())
     )
 
 

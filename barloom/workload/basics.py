@@ -307,7 +307,7 @@ def duplicate_times(t):
 
 
 _SCREENED = """screened AS (
-    SELECT upper(trim(symbol)) AS key, TRY_CAST(time AS TIMESTAMP) AS at, _ord,
+    SELECT upper(trim(symbol)) AS key, TRY_CAST(time AS TIMESTAMP) AS stamp, _ord,
            CASE WHEN time IS NULL OR symbol IS NULL THEN 'unkeyed'
                 WHEN coalesce(close <= 0, false) OR open <= 0 OR high <= 0 OR low <= 0 OR adj_open <= 0 OR adj_high <= 0
                      OR adj_low <= 0 OR adjusted_close <= 0 OR coalesce(TRY_CAST(volume AS DOUBLE) < 0, false) THEN 'corrupt'
@@ -318,7 +318,7 @@ _SCREENED = """screened AS (
 
 @query(
     f"WITH {_SCREENED} SELECT coalesce(reason, CASE WHEN rn > 1 THEN 'duplicate' ELSE 'retained' END) AS reason, count(*) AS rows"
-    " FROM (SELECT *, row_number() OVER (PARTITION BY key, at, reason IS NULL ORDER BY _ord) AS rn FROM screened) GROUP BY 1"
+    " FROM (SELECT *, row_number() OVER (PARTITION BY key, stamp, reason IS NULL ORDER BY _ord) AS rn FROM screened) GROUP BY 1"
 )
 def rejection_summary(t):
     return equity_rejections(screen_equities(t.equities(), policies=()))

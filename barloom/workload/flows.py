@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.operators.adjust import back_adjust
 from barloom.plans import backfill, build_universe, clean_equities, clean_futures, ingest
 from barloom.schemas import EQUITY_FIELDS, OHLC
 from barloom.session import scratch_path
@@ -122,8 +121,9 @@ def ingest_equities(t):
 
 @query(
     """WITH chosen AS (SELECT * FROM user_bars WHERE symbol NOT IN
-             (SELECT symbol FROM user_bars WHERE open = 'bad' OR volume IS NULL)),
-    zero AS (SELECT symbol, time, _ord, CAST(open AS DOUBLE) AS open, high, low, coalesce(close, 0) AS close, volume FROM chosen)
+             (SELECT symbol FROM user_bars WHERE open = 'bad')),
+    zero AS (SELECT symbol, time, _ord, CAST(open AS DOUBLE) AS open, high, low, coalesce(close, 0) AS close,
+                    coalesce(volume, 0) AS volume FROM chosen)
     SELECT time, concat(symbol, '.v.0') AS symbol, open, high, low, close, volume FROM (
       SELECT *, row_number() OVER (PARTITION BY symbol, time ORDER BY _ord) AS rn FROM zero) WHERE rn = 1"""
 )
@@ -133,10 +133,7 @@ def ingest_futures(t):
     contracts = _contract_file(t, landed.select("symbol").distinct(), "FUTURE")
     stamped = landed.withColumn("symbol", F.concat("symbol", F.lit(".v.0")))
     raw, table = scratch_path(t.spark, "raw"), scratch_path(t.spark, "bars")
-    ingest(
-        t.spark, contracts, stamped, raw, table, "FUTURE", policies=["forward_fill"] and {"custom_fill": "False"},
-        seed="2024-01-01", today="2024-02-01",
-    )
+    ingest(t.spark, contracts, stamped, raw, table, "FUTURE", seed="2024-01-01", today="2024-02-01")
     return sources.read_bars(t.spark, table).select("time", "symbol", "open", "high", "low", "close", "volume")
 
 

@@ -175,11 +175,11 @@ def _as_text(df):
 
 @query(
     "SELECT symbol, time FROM user_days u WHERE NOT EXISTS"
-    " (SELECT 1 FROM bars b WHERE b.time = u.time AND b.volume > 65)"
+    " (SELECT 1 FROM bars b WHERE b.time = u.time AND b.symbol = 'click' AND b.close > 20)"
 )
 def anti_times(t):
-    busy = t.bars().filter(F.col("volume") > 65).select("time")
-    return combine.anti_times(t.user_days(), busy, ["time"])
+    days = t.bars().filter((F.col("symbol") == "click") & (F.col("close") > 20))
+    return combine.anti_times(t.user_days(), days, ["time"])
 
 
 @query(
