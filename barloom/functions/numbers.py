@@ -9,15 +9,16 @@ from pyspark.sql import types as T
 _FLOATING = (T.DoubleType, T.FloatType)
 
 
-def without_nan(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+def without_nan(c: Column, kind: str | T.DataType = "double") -> Column:
+    # One reference to ``c``: pushed-down filters inline it, and nested CASEs would double each time.
+    return F.nanvl(c, F.lit(None).cast(kind))
 
 
 def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Turn NaN into NULL in the floating-point columns (of ``cols``, or of the whole frame)."""
     wanted = set(df.columns if cols is None else cols)
-    floating = [f.name for f in df.schema if f.name in wanted and isinstance(f.dataType, _FLOATING)]
-    return df.withColumns({c: without_nan(F.col(c)) for c in floating}) if floating else df
+    floating = {f.name: f.dataType for f in df.schema if f.name in wanted and isinstance(f.dataType, _FLOATING)}
+    return df.withColumns({c: without_nan(F.col(c), kind) for c, kind in floating.items()}) if floating else df
 
 
 def lenient_double(c: Column) -> Column:

@@ -78,6 +78,10 @@ def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
+def all_of(conditions: list[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions)
+
+
 def column_stats(
     df: DataFrame,
     cols: list[str],

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.functions.numbers import nan_to_null
-from barloom.operators.aggregates import column_stats
+from barloom.operators.aggregates import all_of, column_stats
 from barloom.operators.series import (
     MAX_SERIES_ROWS, SEGMENT, Series, arrange, last_known, match_keys, running_sum,
 )
@@ -40,7 +40,10 @@ def numeric_columns(df: DataFrame, reserved: tuple[str, ...]) -> list[str]:
 def drop_missing(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Drop rows with a missing value in ``cols`` (default: every column)."""
     cols = list(cols or [c for c in df.columns if c not in (ORD, SEGMENT)])
-    return nan_to_null(df, cols).dropna(how="any", subset=cols)
+    # One condition per column: each can reach the scan, and Catalyst's constraint inference stays
+    # linear (dropna's single condition over all columns makes it exponential in their number).
+    present = [F.col(c).isNotNull() for c in cols]
+    return nan_to_null(df, cols).filter(all_of(present))
 
 
 def forward_fill(df, cols, partition=BY, order=IN_ORDER, max_rows=MAX_SERIES_ROWS) -> DataFrame:
@@ -57,14 +60,15 @@ def interpolate(df, cols, partition=BY, order=IN_ORDER, max_rows=MAX_SERIES_ROWS
 
 
 def zero_fill(df: DataFrame, cols: list[str]) -> DataFrame:
-    return nan_to_null(df, cols).fillna(0, subset=list(cols))
+    # fillna replaces NaN too.
+    return df.fillna(0, subset=list(cols))
 
 
 def custom_fill(df: DataFrame, cols: list[str], value) -> DataFrame:
     """Fill with a configured value, which may arrive as text and takes each column's type."""
-    df = nan_to_null(df, cols)
     kinds = {f.name: f.dataType for f in df.schema}
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(value).cast(kinds[c])) for c in cols})
+    filled = {c: F.coalesce(F.col(c), F.lit(value).cast(kinds[c])) for c in cols}
+    return nan_to_null(df, cols).withColumns(filled)
 
 
 def mean_fill(df: DataFrame, cols: list[str], partition=BY) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.numbers import lenient_double, nan_to_null
-from barloom.operators.aggregates import any_of
+from barloom.operators.aggregates import all_of, any_of
 from barloom.schemas import EQUITY_PRICES, SYMBOL, TIME
 
 #: Longer symbol lists become a semi-join instead of an IN list.
@@ -48,7 +48,9 @@ def corrupt(prices: list[str] = EQUITY_PRICES, volume: str = "volume") -> Column
 
 
 def drop_corrupt(df: DataFrame, prices: list[str] = EQUITY_PRICES, volume: str = "volume") -> DataFrame:
-    return df.filter(~corrupt(prices, volume))
+    """Keep rows whose known prices are positive and whose volume, if known, is not negative."""
+    fine = [F.coalesce(lenient_double(F.col(p)) > 0, F.lit(True)) for p in prices]
+    return df.filter(all_of([*fine, F.coalesce(lenient_double(F.col(volume)) >= 0, F.lit(True))]))
 
 
 def drop_unkeyed(df: DataFrame) -> DataFrame:

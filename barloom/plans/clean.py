@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom.functions.numbers import lenient_double, lenient_long
 from barloom.functions.symbols import upper_symbol
 from barloom.functions.times import iso_utc
 from barloom.operators.adjust import back_adjust
+from barloom.operators.aggregates import all_of, any_of
 from barloom.operators.dedupe import dedupe_first
 from barloom.operators.fill import handle_missing
 from barloom.operators.ordering import sort_bars
-from barloom.operators.predicates import corrupt
 from barloom.operators.project import (
     coerce_strict, keep_columns, normalize_time_column, require_and_slice, require_fields, to_utc,
 )
 from barloom.operators.quality import isolate_failures
 from barloom.operators.series import MAX_SERIES_ROWS
-from barloom.schemas import EQUITY_FIELDS, EQUITY_FLOATS, FUTURES_FIELDS, ORD, SYMBOL, TIME
+from barloom.schemas import EQUITY_FIELDS, EQUITY_FLOATS, EQUITY_PRICES, FUTURES_FIELDS, ORD, SYMBOL, TIME
 
 # The policies the two product lines run by default.
 FUTURES_POLICIES = ("zero_fill",)
@@ -52,39 +52,46 @@ def clean_futures(
     return (clean, status) if isolate else clean
 
 
-def screen_equities(
-    df: DataFrame, policies=EQUITY_POLICIES, order=(ORD,), value=0, max_rows: int = MAX_SERIES_ROWS
-) -> DataFrame:
-    """Equity rows after the missing-data policies, typed, each with the ``reason`` it is refused.
+def _typed_equities(df: DataFrame, policies, order, value, max_rows) -> DataFrame:
+    """Equity rows after the missing-data policies with typed columns, nothing dropped yet.
 
-    Series are told apart by the normalised symbol and ordered by the parsed time.
+    Series are told apart by the normalised symbol and ordered by the parsed time. ``_time`` and
+    ``_symbol`` keep what arrived, ``_v`` the volume with its fraction.
     """
-    ordered = [c for c in order if c in df.columns]
     absent = [c for c in order if c not in df.columns]
     if absent:
         raise ValueError(f"missing order columns: {absent}")
-    sliced = require_and_slice(df, [*EQUITY_FIELDS, *ordered])
+    sliced = require_and_slice(df, [*EQUITY_FIELDS, *order])
     keyed = sliced.withColumns({"_key": upper_symbol(F.col(SYMBOL)), "_at": iso_utc(F.col(TIME))})
     # Time and symbol as they came still decide what counts as missing, but are not filled.
     hidden = keyed.withColumnsRenamed({TIME: "_time", SYMBOL: "_symbol"})
     data = [c for c in EQUITY_FIELDS if c not in (TIME, SYMBOL)]
     filled = handle_missing(
-        hidden, policies, value, ("_key",), ("_at", *ordered), max_rows,
+        hidden, policies, value, ("_key",), ("_at", *order), max_rows,
         drop_cols=["_time", "_symbol", *data], untouched=("_time", "_symbol"),
     )
-    reason = (
-        F.when(F.col("_time").isNull() | F.col("_symbol").isNull(), "unkeyed")
-        .when(corrupt(), "corrupt")
-        .when(F.col("_at").isNull(), "bad time")
-        .when(lenient_long(F.col("volume")).isNull(), "bad volume")
-    )
-    typed = {c: lenient_double(F.col(c)) for c in EQUITY_FLOATS}
-    return (
-        filled.withColumn("reason", reason)
-        .withColumns({**typed, "volume": lenient_long(F.col("volume"))})
-        .withColumnsRenamed({"_at": TIME, "_key": SYMBOL})
-        .select(*EQUITY_FIELDS, *ordered, "reason")
-    )
+    typed = {**{c: lenient_double(F.col(c)) for c in EQUITY_FLOATS}, "_v": lenient_double(F.col("volume"))}
+    typed["volume"] = lenient_long(F.col("volume"))
+    return filled.withColumns(typed).withColumnsRenamed({"_at": TIME, "_key": SYMBOL})
+
+
+def _refusals() -> list[tuple[str, list[Column]]]:
+    """Why a typed row is refused, in order of precedence; any one condition of a group suffices."""
+    return [
+        ("unkeyed", [F.col("_time").isNull(), F.col("_symbol").isNull()]),
+        ("corrupt", [*[F.col(p) <= 0 for p in EQUITY_PRICES], F.col("_v") < 0]),
+        ("bad time", [F.col(TIME).isNull()]),
+        ("bad volume", [F.col("volume").isNull()]),
+    ]
+
+
+def screen_equities(
+    df: DataFrame, policies=EQUITY_POLICIES, order=(ORD,), value=0, max_rows: int = MAX_SERIES_ROWS
+) -> DataFrame:
+    """Typed equity rows, each with the ``reason`` it would be refused for (NULL if it would not)."""
+    typed = _typed_equities(df, policies, tuple(order), value, max_rows)
+    reason = F.coalesce(*[F.when(any_of(tests), F.lit(name)) for name, tests in _refusals()])
+    return typed.select(*EQUITY_FIELDS, *order, reason.alias("reason"))
 
 
 def clean_equities(
@@ -92,10 +99,13 @@ def clean_equities(
     for_storage: bool = False,
 ) -> DataFrame:
     """Equity bars: readable, positive, one row per (symbol, time), in that order."""
-    screened = screen_equities(df, policies, order, value, max_rows)
-    passed = screened.filter(F.col("reason").isNull())
-    kept = dedupe_first(passed, (SYMBOL, TIME), order).drop("reason")
-    return kept if for_storage else sort_bars(kept.select(*EQUITY_FIELDS))
+    typed = _typed_equities(df, policies, tuple(order), value, max_rows)
+    # Separate conditions, so that each is pushed down on its own.
+    passes = [~F.coalesce(test, F.lit(False)) for _, tests in _refusals() for test in tests]
+    kept = dedupe_first(typed.filter(all_of(passes)), (SYMBOL, TIME), order)
+    if for_storage:
+        return kept.select(*EQUITY_FIELDS, *order)
+    return sort_bars(kept.select(*EQUITY_FIELDS))
 
 
 def equity_rejections(screened: DataFrame) -> DataFrame:
