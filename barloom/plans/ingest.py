@@ -28,6 +28,7 @@ class IngestResult:
 
     start: date
     end: date
+    landed: int
     inserted: int
     refused: DataFrame
     status: DataFrame | None
@@ -69,10 +70,10 @@ def ingest(
     stored = read_bars(spark, table, grain=grain) if known else spark.createDataFrame([], schema)
     first, last = range_bounds(stored, start, end, seed, today)
     batch = only_universe(landed.filter(in_day_range(first, last)), universe)
-    write_raw(batch, raw)
+    landed_rows = write_raw(batch, raw)
     status = None
-    if batch.isEmpty():
-        return IngestResult(first, last, 0, refused, status)
+    if not landed_rows:
+        return IngestResult(first, last, 0, 0, refused, status)
     if asset == "FUTURE":
         clean, status = clean_futures(
             batch, policies or FUTURES_POLICIES, series, isolate=True, max_rows=max_rows, for_storage=True
@@ -82,7 +83,7 @@ def ingest(
     # The clean rows are read for their periods and again for the insert.
     clean = cut_lineage(clean)
     inserted = insert_new(clean, table, grain=grain)
-    return IngestResult(first, last, inserted, refused, status)
+    return IngestResult(first, last, landed_rows, inserted, refused, status)
 
 
 def backfill(

@@ -22,9 +22,15 @@ from barloom.sources.stored import PERIOD, prune
 _NAMED_PERIODS = 1000
 
 
-def write_raw(df: DataFrame, path: str) -> None:
-    """Append a batch as it came, before any cleaning; only the landing order is left out."""
-    df.drop(ORD).write.mode("append").parquet(path)
+def write_raw(df: DataFrame, path: str) -> int:
+    """Append a batch as it came, before any cleaning; only the landing order is left out.
+
+    Returns the number of rows, counted by the write itself.
+    """
+    counted = Observation()
+    rows = df.drop(ORD).observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("append").parquet(path)
+    return counted.get["rows"]
 
 
 def _laid_out(df: DataFrame, grain: str) -> DataFrame:
