@@ -29,6 +29,11 @@ def lenient_double(c: Column) -> Column:
 def lenient_long(c: Column) -> Column:
     """Whole number or NULL: text and fractions are accepted, the fraction is cut off.
 
-    Integers in text go through ``bigint`` first, so that values beyond 2^53 stay exact.
+    Only numbers too large for a double to hold exactly are read as ``bigint`` text; trying that first
+    would raise and catch an error for every other row that is not a plain integer.
     """
-    return F.coalesce(c.cast("string").try_cast("bigint"), lenient_double(c).try_cast("bigint"))
+    number = lenient_double(c)
+    exact = F.abs(number) < F.lit(float(1 << 53))
+    return F.when(exact, number.try_cast("bigint")).when(
+        number.isNotNull(), F.coalesce(c.cast("string").try_cast("bigint"), number.try_cast("bigint"))
+    )

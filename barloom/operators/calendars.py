@@ -29,7 +29,7 @@ def expand_calendar(spans: DataFrame, freq: str, start: str = "start", end: str
         {start: F.col(start).cast("timestamp"), end: F.col(end).cast("timestamp")}
     )
     days = spans.select(
-        *rest, end, F.explode(F.expr(f"sequence(`{start}`, `{end}`, INTERVAL 1 DAY)")).alias("_day")
+        *rest, end, F.explode(F.expr(f"sequence(`{start}`, greatest(`{start}`, `{end}`), INTERVAL 1 DAY)")).alias("_day")
     )
     if step == "B":
         days = days.filter(F.weekday("_day") < 5)
@@ -121,7 +121,11 @@ def chunk_ranges(spans: DataFrame, unit: str, n: int, start: str = "start", end:
     return (
         ranges.filter(F.col(start) < F.col(end))
         .withColumn(
-            "chunk_start", F.explode(F.expr(f"sequence(`{start}`, `{end}` - INTERVAL 1 MICROSECOND, {step})"))
+            # greatest(): folded constants reach sequence() even where the filter leaves no rows.
+            "chunk_start",
+            F.explode(
+                F.expr(f"sequence(`{start}`, greatest(`{start}`, `{end}` - INTERVAL 1 MICROSECOND), {step})")
+            ),
         )
         .withColumn("chunk_end", F.expr(f"least(chunk_start + {step}, `{end}`)"))
         .withColumn("start_text", F.date_format("chunk_start", shape))

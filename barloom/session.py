@@ -55,9 +55,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably (never on executor-local storage) and forget its plan."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there, with a plan that starts at a scan.
+
+    Parquet rather than ``checkpoint()``: later steps read only the columns they need. The copy stays
+    until the folder is cleaned, because lost executors may have to read it again.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
