@@ -139,6 +139,15 @@ def time_chunks(spark, start, end, unit: str, n: int) -> DataFrame:
     return chunk_ranges(one, unit, n).select("chunk_start", "chunk_end", "start_text", "end_text")
 
 
+def fan_out(universe: DataFrame, start, end, unit: str, n: int) -> DataFrame:
+    """One row per symbol and chunk of the range: the units of work of a backfill.
+
+    Each symbol's row is exploded in place, so neither a cross join nor a list of chunks is needed.
+    """
+    spans = universe.withColumns({"_start": F.lit(start).cast("timestamp"), "_end": F.lit(end).cast("timestamp")})
+    return chunk_ranges(spans, unit, n, "_start", "_end").select(*universe.columns, "chunk_start", "chunk_end")
+
+
 def _day(value):
     """A date literal; empty text counts as not given."""
     return F.lit(value or None).cast("date")

@@ -17,20 +17,6 @@ def anti_times(expected: DataFrame, actual: DataFrame, keys=KEYS) -> DataFrame:
     return expected.join(actual.select(*keys).distinct(), list(keys), "left_anti").select(*expected.columns)
 
 
-def fan_out(universe: DataFrame, chunks: list[tuple]) -> DataFrame:
-    """One row per symbol and time chunk. The chunks are a short list, exploded in place."""
-    spans = F.array(
-        *[
-            F.struct(F.lit(a).cast("timestamp").alias("chunk_start"), F.lit(b).cast("timestamp").alias("chunk_end"))
-            for a, b in chunks
-        ]
-    )
-    if not chunks:
-        empty = "CAST(NULL AS TIMESTAMP)"
-        return universe.selectExpr("*", f"{empty} AS chunk_start", f"{empty} AS chunk_end").limit(0)
-    return universe.select("*", F.inline(spans))
-
-
 def only_universe(bars: DataFrame, universe: DataFrame, symbol: str = SYMBOL) -> DataFrame:
     """Bars of the symbols in the universe."""
     wanted = universe.select(F.col(symbol).alias(SYMBOL)).distinct()

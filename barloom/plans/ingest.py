@@ -8,8 +8,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.calendars import chunk_ranges, range_bounds
-from barloom.operators.combine import fan_out, only_universe
+from barloom.operators.calendars import fan_out, range_bounds
+from barloom.operators.combine import only_universe
 from barloom.operators.dedupe import dedupe_first
 from barloom.operators.predicates import in_day_range, in_range
 from barloom.operators.project import canonical_symbol, check_asset_type
@@ -97,15 +97,12 @@ def backfill(
     daily = unit.lower() == "daily"
     within = in_day_range(start, end) if daily else in_range(start, end)
     rows = dedupe_first(only_universe(bars.filter(within), universe), keys, order)
-    spark = bars.sparkSession
-    span = spark.range(1).select(F.lit(start).alias("start"), F.lit(end).alias("end"))
-    chunks = chunk_ranges(span, unit, n).select("chunk_start", "chunk_end").collect()
-    work = fan_out(universe.select(SYMBOL).distinct(), [(c.chunk_start, c.chunk_end) for c in chunks])
-    cell = F.date_trunc("day" if daily else "minute", F.col(TIME))
-    counted = rows.groupBy(SYMBOL, cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
-    step = "INTERVAL 1 DAY" if daily else "INTERVAL 1 MINUTE"
+    work = fan_out(universe.select(SYMBOL).distinct(), start, end, unit, n)
+    # Rows per calendar cell are counted first; a chunk then sums the few cells it spans.
+    cell, step = ("day", "INTERVAL 1 DAY") if daily else ("minute", "INTERVAL 1 MINUTE")
+    counted = rows.groupBy(SYMBOL, F.date_trunc(cell, TIME).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
     cells = work.withColumn(
-        "_cell", F.explode(F.expr(f"sequence(date_trunc('{'day' if daily else 'minute'}', chunk_start), chunk_end, {step})"))
+        "_cell", F.explode(F.expr(f"sequence(date_trunc('{cell}', chunk_start), chunk_end, {step})"))
     )
     work = (
         cells.join(counted, [SYMBOL, "_cell"], "left")

@@ -13,6 +13,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM never compiles methods above 8000 bytes of bytecode. Wide cleaning projections can get
+    # there; Spark then does better with smaller generated methods than with one interpreted one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

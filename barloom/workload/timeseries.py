@@ -197,10 +197,8 @@ def new_keys(t):
     FROM (SELECT DISTINCT symbol FROM user_days) u, chunks"""
 )
 def fan_out(t):
-    span = combine.time_span(t.bars())
-    chunks = calendars.chunk_ranges(span, "daily", 10).select("chunk_start", "chunk_end").collect()
-    universe = t.user_days().select("symbol").distinct()
-    return combine.fan_out(universe, [(c.chunk_start, c.chunk_end) for c in chunks])
+    span = combine.time_span(t.bars()).first()
+    return calendars.fan_out(t.user_days().select("symbol").distinct(), span.start, span.end, "daily", 10)
 
 
 @query("SELECT * FROM user_days WHERE symbol IN (SELECT concat('U', s_suppkey) FROM supplier)")
