@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barloom.schemas import ORD, SYMBOL, TIME
@@ -44,16 +44,22 @@ def earliest_bar(df: DataFrame, symbol: str) -> DataFrame:
 
 
 def latest_bar_per_symbol(df: DataFrame) -> DataFrame:
-    return _end_bar(df, F.max_by)
+    return _end_bar(df, latest=True)
 
 
 def earliest_bar_per_symbol(df: DataFrame) -> DataFrame:
-    return _end_bar(df, F.min_by)
+    return _end_bar(df, latest=False)
 
 
-def _end_bar(df: DataFrame, pick) -> DataFrame:
-    """One row per symbol by aggregation, which combines before the shuffle."""
-    rest = [c for c in df.columns if c != SYMBOL]
-    at = F.struct(TIME, *_ties(df))
-    bars = df.filter(F.col(TIME).isNotNull()).groupBy(SYMBOL).agg(pick(F.struct(*rest), at).alias("_bar"))
-    return bars.select(SYMBOL, "_bar.*").select(*df.columns)
+def _end_bar(df: DataFrame, latest: bool) -> DataFrame:
+    """The bar of each symbol at its last (first) time; the ordinal decides between equal times.
+
+    The times come from a hash aggregation over two columns. Whole rows are then looked up by
+    (symbol, time) instead of being sorted; at most the copies of one time are ranked.
+    """
+    pick, by = (F.max, F.desc) if latest else (F.min, F.asc)
+    ends = df.groupBy(F.col(SYMBOL).alias("_symbol")).agg(pick(TIME).alias("_time"))
+    at_end = F.col(SYMBOL).eqNullSafe(F.col("_symbol")) & (F.col(TIME) == F.col("_time"))
+    rows = df.join(ends, at_end, "left_semi")
+    w = Window.partitionBy(SYMBOL).orderBy(*[by(c) for c in _ties(df) or [TIME]])
+    return rows.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.functions.numbers import lenient_double, lenient_long
 from barloom.functions.symbols import canonical, strip, ticker, upper_symbol
@@ -55,11 +56,12 @@ def strict_failure(df: DataFrame) -> Column:
 
     A missing price stays missing; a missing volume has no integer form and is a failure.
     """
-    checks = [
-        *[(f"bad {c}", F.col(c).isNotNull() & F.col(c).cast("string").try_cast("double").isNull()) for c in OHLC],
-        ("missing volume", lenient_double(F.col("volume")).isNull() & _blank(F.col("volume"))),
-        ("bad volume", lenient_long(F.col("volume")).isNull()),
-    ]
+    number = {f.name: isinstance(f.dataType, T.NumericType) for f in df.schema}
+    volume = F.col("volume")
+    # Columns that are numbers already need no reading of text.
+    unreadable = [(f"bad {c}", F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()) for c in OHLC if not number[c]]
+    blank = lenient_double(volume).isNull() if number["volume"] else _blank(volume)
+    checks = [*unreadable, ("missing volume", blank), ("bad volume", lenient_long(volume).isNull())]
     return F.coalesce(*[F.when(test, F.lit(reason)) for reason, test in checks])
 
 
