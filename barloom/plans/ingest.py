@@ -16,10 +16,10 @@ from barloom.operators.project import canonical_symbol, check_asset_type
 from barloom.operators.series import MAX_SERIES_ROWS
 from barloom.plans.clean import EQUITY_POLICIES, FUTURES_POLICIES, clean_equities, clean_futures
 from barloom.schemas import EQUITY_SCHEMA, FUTURES_SCHEMA, ORD, SYMBOL, TIME
-from barloom.session import cut_lineage
-from barloom.sinks.tables import exists, insert_new, write_raw
+from barloom.session import cut_lineage, path_exists, remove_path, scratch_path
+from barloom.sinks.tables import insert_new, write_raw
 from barloom.sources.landing import load_contracts
-from barloom.sources.stored import read_bars
+from barloom.sources.stored import last_period
 
 
 @dataclass(frozen=True)
@@ -66,8 +66,8 @@ def ingest(
     """
     universe, refused = universe_of(load_contracts(spark, contracts), asset, roll, rank)
     schema = FUTURES_SCHEMA if asset == "FUTURE" else EQUITY_SCHEMA
-    known = exists(spark, table)
-    stored = read_bars(spark, table, grain=grain) if known else spark.createDataFrame([], schema)
+    # Only the last period is read for the latest time.
+    stored = last_period(spark, table) if path_exists(spark, table) else spark.createDataFrame([], schema)
     first, last = range_bounds(stored, start, end, seed, today)
     batch = only_universe(landed.filter(in_day_range(first, last)), universe)
     landed_rows = write_raw(batch, raw)
@@ -81,8 +81,9 @@ def ingest(
     else:
         clean = clean_equities(batch, policies or EQUITY_POLICIES, max_rows=max_rows, for_storage=True)
     # The clean rows are read for their periods and again for the insert.
-    clean = cut_lineage(clean)
-    inserted = insert_new(clean, table, grain=grain)
+    copy = scratch_path(spark, "clean")
+    inserted = insert_new(cut_lineage(clean, copy), table, grain=grain)
+    remove_path(spark, copy)
     return IngestResult(first, last, landed_rows, inserted, refused, status)
 
 

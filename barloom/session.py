@@ -58,12 +58,28 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame, label: str = "cut") -> DataFrame:
+def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and go on from there, with a plan that starts at a scan.
 
     Parquet rather than ``checkpoint()``: later steps read only the columns they need. The copy stays
-    until the folder is cleaned, because lost executors may have to read it again.
+    until the caller or the folder's owner removes it, because lost tasks may have to read it again.
     """
-    path = scratch_path(df.sparkSession, label)
+    path = path or scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The path and its file system, as Hadoop objects."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, fs = hadoop_path(spark, path)
+    return fs.exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    target, fs = hadoop_path(spark, path)
+    fs.delete(target, True)

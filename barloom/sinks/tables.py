@@ -16,6 +16,7 @@ from barloom.operators import dedupe
 from barloom.operators.aggregates import row_count
 from barloom.operators.predicates import in_range, symbol_in
 from barloom.schemas import ORD, SYMBOL, TIME
+from barloom.session import path_exists, remove_path
 from barloom.sources.stored import PERIOD, prune
 
 #: Up to this many periods are named one by one when stored keys are looked up.
@@ -51,16 +52,6 @@ def append_bars(df: DataFrame, path: str, grain: str = "month") -> int:
     return counted.get["rows"]
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target, fs = _hadoop(spark, path)
-    return fs.exists(target)
-
-
-def _hadoop(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def _stored_for(batch: DataFrame, path: str, grain: str) -> DataFrame:
     """The part of a stored table that can hold keys of the batch: its periods, nothing else.
 
@@ -81,7 +72,7 @@ def insert_new(batch: DataFrame, path: str, keys=dedupe.KEYS, order=(ORD,), grai
 
     Repeating a batch adds nothing. Cut the lineage of a costly batch first: it is read twice.
     """
-    if exists(batch.sparkSession, path):
+    if path_exists(batch.sparkSession, path):
         rows = dedupe.insert_ignore(batch, _stored_for(batch, path, grain), keys, order)
     else:
         rows = dedupe.insert_ignore(batch, batch.limit(0), keys, order)
@@ -90,7 +81,7 @@ def insert_new(batch: DataFrame, path: str, keys=dedupe.KEYS, order=(ORD,), grai
 
 def insert_all(batch: DataFrame, path: str, keys=dedupe.KEYS, grain: str = "month") -> int:
     """Strict insert into a stored table: any duplicate key fails it before anything is written."""
-    stored = _stored_for(batch, path, grain) if exists(batch.sparkSession, path) else batch.limit(0)
+    stored = _stored_for(batch, path, grain) if path_exists(batch.sparkSession, path) else batch.limit(0)
     return append_bars(dedupe.insert_strict(batch, stored, keys), path, grain)
 
 
@@ -129,17 +120,12 @@ def delete_stored(spark: SparkSession, path: str, start, end, symbols=None, grai
         staged = spark.read.schema(kept.schema).parquet(staging)
         writer = _laid_out(staged, grain).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(PERIOD).parquet(path)
-        _remove(spark, staging)
+        remove_path(spark, staging)
     for period in emptied:
-        _remove(spark, f"{path.rstrip('/')}/{PERIOD}={period.isoformat()}")
+        remove_path(spark, f"{path.rstrip('/')}/{PERIOD}={period.isoformat()}")
     return sum(r.gone for r in touched)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    target, fs = _hadoop(spark, path)
-    fs.delete(target, True)
-
-
 def validate_row_count(df: DataFrame, expected: int, where: Column | str | None = None) -> DataFrame:
     """Whether a table (or the part ``where`` selects) has the expected number of rows."""
     return row_count(df, where).select(

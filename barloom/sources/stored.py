@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barloom.functions.times import period_start
 from barloom.operators.predicates import in_range
 from barloom.schemas import TIME
+from barloom.session import hadoop_path
 
 PERIOD = "period"
 
@@ -22,14 +23,16 @@ def prune(df: DataFrame, start, end, grain: str) -> DataFrame:
 
 
 def read_bars(
-    spark: SparkSession, source: str, start=None, end=None, grain: str = "month", time_col: str = TIME
+    spark: SparkSession, source: str, start=None, end=None, grain: str = "month", time_col: str = TIME,
+    merge_schema: bool = False,
 ) -> DataFrame:
     """Stored bars from a path or a catalog table, restricted to ``start <= time <= end`` if given.
 
-    Columns added to the table over time are merged by name.
+    ``merge_schema`` brings together columns that batches added over time (raw tables). It reads every
+    file's footer, so it is off unless asked for.
     """
     is_path = "/" in source or ":" in source
-    df = spark.read.option("mergeSchema", True).parquet(source) if is_path else spark.table(source)
+    df = spark.read.option("mergeSchema", merge_schema).parquet(source) if is_path else spark.table(source)
     if PERIOD in df.columns:
         df = prune(df, start, end, grain).drop(PERIOD)
     if start is not None and end is not None:
@@ -39,3 +42,15 @@ def read_bars(
     if end is not None:
         return df.filter(F.col(time_col) <= F.lit(end).cast("timestamp"))
     return df
+
+
+def last_period(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the latest period: enough to find a table's latest time without scanning it all.
+
+    The period comes from the folder names.
+    """
+    target, fs = hadoop_path(spark, path)
+    names = [entry.getPath().getName() for entry in fs.listStatus(target)]
+    days = [n.split("=", 1)[1] for n in names if n.startswith(f"{PERIOD}=") and n.split("=", 1)[1][:1].isdigit()]
+    table = spark.read.parquet(path)
+    return table.filter(F.col(PERIOD) == F.lit(max(days)).cast("date")) if days else table.limit(0)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barloom.session import cut_lineage
+from barloom.session import cut_lineage, remove_path, scratch_path
 from barloom.sinks.tables import insert_new, write_raw
 
 
@@ -38,7 +38,9 @@ def ingest_landed(
 
     def take(batch: DataFrame, _batch_id: int) -> None:
         if write_raw(batch, raw):
-            insert_new(cut_lineage(clean(batch)), table, grain=grain)
+            copy = scratch_path(spark, "clean")
+            insert_new(cut_lineage(clean(batch), copy), table, grain=grain)
+            remove_path(spark, copy)
 
     landed = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(landing)
     return (

@@ -79,7 +79,7 @@ def write_raw(t):
     bars = t.bars()
     sink.write_raw(bars, path)
     sink.write_raw(bars.withColumn("extra", F.col("volume")), path)
-    return sources.read_bars(t.spark, path).select(*FUTURES_FIELDS, "extra")
+    return sources.read_bars(t.spark, path, merge_schema=True).select(*FUTURES_FIELDS, "extra")
 
 
 _NEW = """(SELECT _ord, symbol, time, close, volume FROM (
