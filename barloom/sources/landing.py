@@ -15,7 +15,7 @@ from barloom.operators.project import (
 from barloom.operators.quality import validate_contracts
 from barloom.schemas import (
     CONTRACT_REQUIRED, EQUITY_FIELD_NAMES, EQUITY_FIELDS, EQUITY_FLOATS, EQUITY_JSON_SCHEMA, FUTURES_FIELDS, FUTURES_SCHEMA,
-    ORD, SYMBOL, TIME,
+    ORD, SYMBOL,
 )
 
 # Texts a contract list uses for "no value".

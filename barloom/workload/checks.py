@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from barloom.operators import quality
 from barloom.operators.calendars import with_gap_report
 from barloom.sinks.tables import missing_findings, status_findings

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from barloom.operators import adjust, calendars, combine, dedupe
-from barloom.schemas import FUTURES_FIELDS
-from barloom.workload.missing import SMALL
 from barloom.workload.registry import query, rounded
 
 _BY_SERIES = "PARTITION BY series ORDER BY time, _ord"
