@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from barloom.plans import backfill, build_universe, clean_equities, clean_futures, ingest
 from barloom.schemas import EQUITY_FIELDS, OHLC
-from barloom.session import scratch_path
+from barloom.session import cut_lineage, scratch_path
 from barloom import sources
 from barloom.workload.missing import SMALL
 from barloom.workload.registry import query, rounded
@@ -112,7 +112,10 @@ def ingest_equities(t):
     # Landed symbols are requested as listed, so the list carries every spelling of the landing.
     landed = t.equities()
     contracts = _contract_file(t, landed.select(F.trim("symbol").alias("symbol")).dropna().distinct(), "EQUITY")
-    landed = landed.withColumns({"symbol": F.trim("symbol"), "time": F.col("time").try_cast("timestamp")})
+    landed = cut_lineage(
+        landed.withColumns({"symbol": F.trim("symbol"), "time": F.col("time").try_cast("timestamp")}),
+        scratch_path(t.spark, "landing"),
+    )
     raw, table = scratch_path(t.spark, "raw"), scratch_path(t.spark, "bars")
     for _ in range(2):
         ingest(t.spark, contracts, landed, raw, table, "EQUITY", start="2024-01-01", end="2024-01-31")
@@ -131,7 +134,9 @@ def ingest_futures(t):
     """Symbols that cannot be typed are left out, the others go in, first row per key."""
     landed = t.user_bars()
     contracts = _contract_file(t, landed.select("symbol").distinct(), "FUTURE")
-    stamped = landed.withColumn("symbol", F.concat("symbol", F.lit(".v.0")))
+    stamped = cut_lineage(
+        landed.withColumn("symbol", F.concat("symbol", F.lit(".v.0"))), scratch_path(t.spark, "landing")
+    )
     raw, table = scratch_path(t.spark, "raw"), scratch_path(t.spark, "bars")
     ingest(t.spark, contracts, stamped, raw, table, "FUTURE", seed="2024-01-01", today="2024-02-01")
     return sources.read_bars(t.spark, table).select("time", "symbol", "open", "high", "low", "close", "volume")
