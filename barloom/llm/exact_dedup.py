@@ -21,7 +21,11 @@ from pyspark.sql import functions as F
 
 from barloom.llm.common import ascii_lower, cut_lineage, scratch_path
 
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State on disk, without room set aside in advance: there is a store per partition, and most are small.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: str = "text") -> Column:
@@ -50,15 +54,17 @@ def update_state(spark: SparkSession, path: str, state: str, doc_id: str = "doc_
     pattern = f"{path[:-1]}[{path[-1]}]"  # the source takes a single file only by a pattern
     keyed = _located(reader.parquet(pattern), doc_id).select("at", F.xxhash64("norm").alias("digest"))
     counted = keyed.groupBy("digest").agg(F.max("at").alias("at"), F.count(F.lit(1)).alias("n"))
-    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    before = {name: spark.conf.get(name, None) for name in STATE_CONF}
+    for name, value in STATE_CONF.items():
+        spark.conf.set(name, value)
     try:
         query = (
             counted.writeStream.format("noop").outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).start()
         )
         query.awaitTermination()
     finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def read_state(spark: SparkSession, state: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, exact_dedup, line_dedup, pii, simhash
+from barloom.llm import bpe, exact_dedup, html_extract, line_dedup, pii, simhash
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT dropped), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+@query
+def op10_html_extract(spark: SparkSession, folder: str) -> DataFrame:
+    return html_extract.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
