@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, exact_dedup, html_extract, line_dedup, pii, simhash
+from barloom.llm import bpe, exact_dedup, html_extract, line_dedup, pii, simhash, suffix_dedup
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,15 @@ FROM m GROUP BY doc_id
 @query
 def op10_html_extract(spark: SparkSession, folder: str) -> DataFrame:
     return html_extract.extract(table(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.removed_bytes(table(spark, folder, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
