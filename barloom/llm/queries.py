@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, exact_dedup, html_extract, line_dedup, pii, simhash, suffix_dedup
+from barloom.llm import bpe, exact_dedup, html_extract, line_dedup, line_quality, pii, simhash, suffix_dedup
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,3 +118,21 @@ def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def held_out() -> Column:
+    """Rows that quality is never learned from."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+
+
+def quality_model(spark: SparkSession, folder: str) -> line_quality.Model:
+    labels = table(spark, folder, "labels").where(~held_out())
+    return line_quality.train(table(spark, folder, "documents").select("doc_id", "text"), labels)
+
+
+@query
+def op3_line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = line_quality.score(docs, quality_model(spark, folder))
+    held = F.coalesce(held_out(), F.lit(False)).alias("held_out")
+    return scored.select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
