@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, exact_dedup, html_extract, line_dedup, line_quality, pii, simhash, suffix_dedup
+from barloom.llm import bpe, decontaminate, exact_dedup, html_extract, line_dedup, line_quality, pii, simhash, suffix_dedup
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,11 @@ def op3_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     scored = line_quality.score(docs, quality_model(spark, folder))
     held = F.coalesce(held_out(), F.lit(False)).alias("held_out")
     return scored.select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_passages(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.groupBy("doc_id", "item_id").agg(
+        F.count(F.lit(1)).alias("n_regions"), F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("edits").alias("edits")
+    )
