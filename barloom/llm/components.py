@@ -19,7 +19,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = cut_lineage(edges)
     before = None
     while True:
-        sign = edges.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long")), F.sum(F.xxhash64("a", "b") / 2**32)).first()
+        sign = edges.agg(F.count(F.lit(1)), *(F.sum(F.pmod(F.xxhash64("a", "b", F.lit(i)), F.lit(1 << 31))) for i in (0, 1))).first()
         if sign == before or not sign[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = sign
