@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, decontaminate, exact_dedup, html_extract, line_dedup, line_quality, pii, simhash, suffix_dedup
+from barloom.llm import bpe, chat_format, decontaminate, exact_dedup, html_extract, line_dedup, line_quality, pii, simhash, suffix_dedup
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,8 +61,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 @query
 def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = tokenizer()
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    coded = bpe.decode(bpe.encode(docs, ranks, pattern, keep_text=False), ranks)
+    coded = bpe.round_trip(table(spark, folder, "documents"), ranks, pattern)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -144,3 +143,8 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.groupBy("doc_id", "item_id").agg(
         F.count(F.lit(1)).alias("n_regions"), F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("edits").alias("edits")
     )
+
+
+@query
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    return chat_format.format_chats(table(spark, folder, "conversations"))
