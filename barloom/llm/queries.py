@@ -119,6 +119,10 @@ def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+#: Score from which a document counts as good.
+GOOD = 0.3
+
+
 def held_out() -> Column:
     """Rows that quality is never learned from."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
@@ -134,7 +138,7 @@ def op3_line_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     scored = line_quality.score(docs, quality_model(spark, folder))
     held = F.coalesce(held_out(), F.lit(False)).alias("held_out")
-    return scored.select("doc_id", held, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    return scored.select("doc_id", held, "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
 
 
 @query
