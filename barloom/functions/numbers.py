@@ -21,9 +21,18 @@ def nan_to_null(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.withColumns({c: without_nan(F.col(c), kind) for c, kind in floating.items()}) if floating else df
 
 
+#: Decimal numbers as text, infinity and NaN; Java's own reading also knows type suffixes and hexadecimals.
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$|^\s*([+-]?inf(inity)?|nan)\s*$"
+
+
+def number(c: Column) -> Column:
+    """Number or NULL, never an error; NaN stays NaN. ``typeof`` is a constant, so only text is matched."""
+    return F.when((F.typeof(c) != "string") | c.cast("string").rlike(NUMBER), c).try_cast("double")
+
+
 def lenient_double(c: Column) -> Column:
     """Number or NULL, never an error."""
-    return without_nan(c.try_cast("double"))
+    return without_nan(number(c))
 
 
 def lenient_long(c: Column) -> Column:

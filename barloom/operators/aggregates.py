@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barloom.operators.series import MAX_SERIES_ROWS, arrange, match_keys, running_sum
+from barloom.operators.series import SEGMENT_ROWS, arrange, match_keys, running_sum
 
 _DAY = "yyyy-MM-dd"
 
@@ -87,27 +87,20 @@ def column_stats(
     cols: list[str],
     by: list[str],
     kinds: tuple[str, ...] = ("mean", "median"),
-    max_rows: int = MAX_SERIES_ROWS,
+    max_rows: int = SEGMENT_ROWS,
 ) -> DataFrame:
     """Mean and exact median of each column per group, as ``<col>_mean`` and ``<col>_median``.
 
-    Spark's exact median keeps the distinct values of a group in one task's memory. Groups above
-    ``max_rows`` are therefore ranked instead, see ``_ranked_medians``.
+    Spark's exact median keeps the distinct values of a group in one task's memory. Values are
+    therefore ranked instead, see ``_ranked_medians``.
     """
-    largest = None
-    if "median" in kinds:
-        sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-        largest = sizes.agg(F.max("_n")).first()[0]
-    direct = largest is None or largest <= max_rows
-    aggregates = [F.avg(c).alias(f"{c}_mean") for c in cols if "mean" in kinds]
-    if direct:
-        aggregates += [F.median(c).alias(f"{c}_median") for c in cols if "median" in kinds]
-        return df.groupBy(*by).agg(*aggregates)
+    means = df.groupBy(*by).agg(*[F.avg(c).alias(f"{c}_mean") for c in cols]) if "mean" in kinds else None
+    if "median" not in kinds:
+        return means
     medians = _ranked_medians(df, cols, by, max_rows)
-    if "mean" not in kinds:
+    if means is None:
         return medians
     names = {k: f"_k{i}" for i, k in enumerate(by)}
-    means = df.groupBy(*by).agg(*aggregates)
     renamed = medians.withColumnsRenamed(names)
     return means.join(renamed, match_keys(names), "left").drop(*names.values())
 
@@ -134,10 +127,5 @@ def _ranked_medians(df: DataFrame, cols: list[str], by: list[str], max_rows: int
     high = F.expr("_total div 2 + 1")
     covers = [(F.col("_upto") - F.col("_n") < rank) & (F.col("_upto") >= rank) for rank in (low, high)]
     middle = ranked.join(totals, match_keys(names)).filter(covers[0] | covers[1])
-    groups = df.select(*by).distinct()
-    medians = middle.groupBy(*by).pivot("_column", list(cols)).agg(F.avg("_value"))
-    renamed = medians.select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(by)], *[F.col(f"`{c}`").alias(f"{c}_median") for c in cols]
-    )
-    on = {k: f"_k{i}" for i, k in enumerate(by)}
-    return groups.join(renamed, match_keys(on), "left").drop(*on.values())
+    medians = middle.select(*by, "_column", "_value").unionByName(df.select(*by).distinct(), allowMissingColumns=True)
+    return medians.groupBy(*by).agg(*[F.avg(F.when(F.col("_column") == c, F.col("_value"))).alias(f"{c}_median") for c in cols])

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.times import micros
@@ -66,7 +68,7 @@ def _steps(df: DataFrame, seconds: float, partition, time_col: str) -> DataFrame
     Time is cut into cells as wide as the threshold. Two times in one cell are closer than that, so
     only the step from the last time of a cell to the first of the next occupied cell matters. The
     cells are aggregated before any shuffle and there are no more of them than the calendar has
-    room for, however many rows there are. A second level of blocks keeps each ordered pass short.
+    room for, however many rows there are. Levels of blocks, as many as times can span, keep each ordered pass short.
     """
     width = int(round(seconds * 1_000_000))
     if width <= 0:
@@ -80,11 +82,19 @@ def _steps(df: DataFrame, seconds: float, partition, time_col: str) -> DataFrame
         .agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"))
         .withColumn("_block", F.expr(f"(_cell - pmod(_cell, {_CELLS_PER_BLOCK}L)) div {_CELLS_PER_BLOCK}L"))
     )
-    blocks = cells.groupBy(*by, "_block").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-    inside = Window.partitionBy(*by, "_block").orderBy("_cell")
-    across = Window.partitionBy(*by).orderBy("_block")
     pair = lambda rows, w: rows.select(*by, F.lag("_hi").over(w).alias("prev_time"), F.col("_lo").alias("cur_time"))
-    return pair(cells, inside).unionByName(pair(blocks, across))
+    steps = pair(cells, Window.partitionBy(*by, "_block").orderBy("_cell"))
+    # The range of times is less than 2**64 microseconds, so after so many levels one block is left.
+    levels = math.ceil((64 - math.log2(width)) / math.log2(_CELLS_PER_BLOCK))
+    for _ in range(max(1, levels) - 1):
+        cells = (
+            cells.groupBy(*by, F.col("_block").alias("_cell"))
+            .agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+            .withColumn("_block", F.expr(f"(_cell - pmod(_cell, {_CELLS_PER_BLOCK}L)) div {_CELLS_PER_BLOCK}L"))
+        )
+        steps = steps.unionByName(pair(cells, Window.partitionBy(*by, "_block").orderBy("_cell")))
+    blocks = cells.groupBy(*by, "_block").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    return steps.unionByName(pair(blocks, Window.partitionBy(*by).orderBy("_block")))
 
 
 def _is_gap(seconds: float):
@@ -161,8 +171,10 @@ def resolve_range(bars: DataFrame | None, start=None, end=None, seed=None, today
     """
     now = _day(today) if today else F.current_date()
     last = F.coalesce(_day(end), F.date_sub(now, 1))
+    if bars is None and not start:
+        raise ValueError("without stored bars a start is needed")
     if start:
-        one = bars.sparkSession.range(1)
+        one = SparkSession.active().range(1)
         first = _day(start)
         return one.select(F.least(first, last).alias("start_date"), last.alias("end_date"))
     first = F.coalesce(F.date_add(F.to_date("_latest"), 1), _day(seed))

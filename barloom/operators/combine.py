@@ -24,8 +24,8 @@ def only_universe(bars: DataFrame, universe: DataFrame, symbol: str = SYMBOL) ->
 
 
 def attach_type(bars: DataFrame, universe: DataFrame) -> DataFrame:
-    """Add ``instrumentType``. The universe has one row per symbol; Spark broadcasts it if small."""
-    kinds = universe.select(SYMBOL, "instrumentType")
+    """Add ``instrumentType``. A symbol listed several times has the smallest of its types."""
+    kinds = universe.groupBy(SYMBOL).agg(F.min("instrumentType").alias("instrumentType"))
     return bars.join(kinds, SYMBOL, "left").select(*bars.columns, "instrumentType")
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from barloom.functions.numbers import nan_to_null
 from barloom.operators.aggregates import all_of, column_stats
 from barloom.operators.series import (
-    MAX_SERIES_ROWS, SEGMENT, Series, arrange, last_known, match_keys, running_sum,
+    SEGMENT, SEGMENT_ROWS, Series, arrange, known_around, last_known, match_keys,
 )
 from barloom.schemas import ORD, SYMBOL, TIME
 
@@ -46,15 +46,15 @@ def drop_missing(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return nan_to_null(df, cols).filter(all_of(present))
 
 
-def forward_fill(df, cols, partition=BY, order=IN_ORDER, max_rows=MAX_SERIES_ROWS) -> DataFrame:
+def forward_fill(df, cols, partition=BY, order=IN_ORDER, max_rows=SEGMENT_ROWS) -> DataFrame:
     return _fill(arrange(nan_to_null(df, cols), partition, order, max_rows), cols, False).rows()
 
 
-def backward_fill(df, cols, partition=BY, order=IN_ORDER, max_rows=MAX_SERIES_ROWS) -> DataFrame:
+def backward_fill(df, cols, partition=BY, order=IN_ORDER, max_rows=SEGMENT_ROWS) -> DataFrame:
     return _fill(arrange(nan_to_null(df, cols), partition, order, max_rows), cols, True).rows()
 
 
-def interpolate(df, cols, partition=BY, order=IN_ORDER, max_rows=MAX_SERIES_ROWS) -> DataFrame:
+def interpolate(df, cols, partition=BY, order=IN_ORDER, max_rows=SEGMENT_ROWS) -> DataFrame:
     """Linear by row position. Leading gaps stay missing, trailing ones take the last value."""
     return _interpolate(arrange(nan_to_null(df, cols), partition, order, max_rows), cols).rows()
 
@@ -72,10 +72,10 @@ def custom_fill(df: DataFrame, cols: list[str], value) -> DataFrame:
 
 
 def mean_fill(df: DataFrame, cols: list[str], partition=BY) -> DataFrame:
-    return _statistic_fill(df, cols, partition, "mean", MAX_SERIES_ROWS)
+    return _statistic_fill(df, cols, partition, "mean", SEGMENT_ROWS)
 
 
-def median_fill(df: DataFrame, cols: list[str], partition=BY, max_rows=MAX_SERIES_ROWS) -> DataFrame:
+def median_fill(df: DataFrame, cols: list[str], partition=BY, max_rows=SEGMENT_ROWS) -> DataFrame:
     return _statistic_fill(df, cols, partition, "median", max_rows)
 
 
@@ -101,7 +101,7 @@ def handle_missing(
     value=0,
     partition=BY,
     order=IN_ORDER,
-    max_rows=MAX_SERIES_ROWS,
+    max_rows=SEGMENT_ROWS,
     drop_cols: list[str] | None = None,
     untouched: tuple[str, ...] = (),
 ) -> DataFrame:
@@ -144,10 +144,7 @@ def _fill(s: Series, cols, reverse: bool) -> Series:
 
 
 def _interpolate(s: Series, cols) -> Series:
-    indexed = running_sum(s, {"_i": F.lit(1).cast("bigint")})
-    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"), "_i")) for c in cols}
-    both = last_known(indexed, {f"_b_{c}": v for c, v in known.items()})
-    both = last_known(both, {f"_a_{c}": v for c, v in known.items()}, reverse=True)
+    both = known_around(s, list(cols), "_i", "_b_", "_a_")
     return _replace(both.with_columns({f"_n_{c}": _between(c) for c in cols}), cols, "_n_").without(
         "_i", *[f"_b_{c}" for c in cols], *[f"_a_{c}" for c in cols]
     )
@@ -155,7 +152,7 @@ def _interpolate(s: Series, cols) -> Series:
 
 def _between(c: str) -> Column:
     before, after = F.col(f"_b_{c}"), F.col(f"_a_{c}")
-    share = (F.col("_i") - before["_i"]) / F.nullif(after["_i"] - before["_i"], F.lit(0))
+    share = (F.col("_i") - before["i"]) / F.nullif(after["i"] - before["i"], F.lit(0))
     line = before["v"] + (after["v"] - before["v"]) * share
     return F.coalesce(F.col(c).cast("double"), F.when(after.isNull(), before["v"]).otherwise(line))
 

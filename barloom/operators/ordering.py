@@ -35,12 +35,12 @@ def head_rows(df: DataFrame, n: int) -> DataFrame:
 
 def latest_bar(df: DataFrame, symbol: str) -> DataFrame:
     """Most recent bar of one symbol."""
-    return df.filter(F.col(SYMBOL) == symbol).orderBy(F.col(TIME).desc_nulls_last()).limit(1)
+    return df.filter(F.col(SYMBOL) == symbol).orderBy(F.col(TIME).desc_nulls_last(), *[F.desc(c) for c in _ties(df)]).limit(1)
 
 
 def earliest_bar(df: DataFrame, symbol: str) -> DataFrame:
     """First bar of one symbol."""
-    return df.filter(F.col(SYMBOL) == symbol).orderBy(F.col(TIME).asc_nulls_last()).limit(1)
+    return df.filter(F.col(SYMBOL) == symbol).orderBy(F.col(TIME).asc_nulls_last(), *_ties(df)).limit(1)
 
 
 def latest_bar_per_symbol(df: DataFrame) -> DataFrame:
@@ -54,12 +54,9 @@ def earliest_bar_per_symbol(df: DataFrame) -> DataFrame:
 def _end_bar(df: DataFrame, latest: bool) -> DataFrame:
     """The bar of each symbol at its last (first) time; the ordinal decides between equal times.
 
-    The times come from a hash aggregation over two columns. Whole rows are then looked up by
-    (symbol, time) instead of being sorted; at most the copies of one time are ranked.
+    One scan: Spark keeps the first row of a rank per task before the shuffle.
     """
-    pick, by = (F.max, F.desc) if latest else (F.min, F.asc)
-    ends = df.groupBy(F.col(SYMBOL).alias("_symbol")).agg(pick(TIME).alias("_time"))
-    at_end = F.col(SYMBOL).eqNullSafe(F.col("_symbol")) & (F.col(TIME) == F.col("_time"))
-    rows = df.join(ends, at_end, "left_semi")
-    w = Window.partitionBy(SYMBOL).orderBy(*[by(c) for c in _ties(df) or [TIME]])
-    return rows.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
+    by = F.desc if latest else F.asc
+    timed = df.filter(F.col(TIME).isNotNull())
+    w = Window.partitionBy(SYMBOL).orderBy(*[by(c) for c in (TIME, *_ties(df))])
+    return timed.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")

@@ -9,9 +9,6 @@ from barloom.functions.numbers import lenient_double, nan_to_null
 from barloom.operators.aggregates import all_of, any_of
 from barloom.schemas import EQUITY_PRICES, SYMBOL, TIME
 
-#: Longer symbol lists become a semi-join instead of an IN list.
-IN_LIST_LIMIT = 200
-
 
 def in_range(start, end, time_col: str = TIME) -> Column:
     """``start <= time <= end`` on timestamps: of the end day only midnight belongs to the range."""
@@ -30,11 +27,8 @@ def symbol_in(symbols: list[str] | None, col: str = SYMBOL) -> Column:
 
 
 def with_symbols(df: DataFrame, symbols: list[str] | None, col: str = SYMBOL) -> DataFrame:
-    """``symbol_in`` as a filter; long lists are joined, which Catalyst broadcasts by size."""
-    if not symbols or len(symbols) <= IN_LIST_LIMIT:
-        return df.filter(symbol_in(symbols, col))
-    wanted = df.sparkSession.createDataFrame([(s,) for s in set(symbols)], f"`{col}` string")
-    return df.join(wanted, col, "left_semi").select(*df.columns)
+    """``symbol_in`` as a filter; Catalyst turns long lists into a set."""
+    return df.filter(symbol_in(symbols, col))
 
 
 def for_symbol(df: DataFrame, symbol: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.functions.numbers import lenient_double, lenient_long
+from barloom.functions.numbers import lenient_double, lenient_long, number
 from barloom.functions.symbols import canonical, strip, ticker, upper_symbol
 from barloom.functions.times import iso_utc, utc
 from barloom.schemas import (
@@ -18,6 +18,8 @@ from barloom.schemas import (
 class MissingFields(ValueError):
     """Raised when a frame lacks columns its product line requires."""
 
+BAD_TIME = "_bad_time"
+
 
 def normalize_time_column(df: DataFrame) -> DataFrame:
     """Futures bars may arrive with their time in ``ts_event``."""
@@ -56,11 +58,13 @@ def strict_failure(df: DataFrame) -> Column:
 
     A missing price stays missing; a missing volume has no integer form and is a failure.
     """
-    number = {f.name: isinstance(f.dataType, T.NumericType) for f in df.schema}
+    numeric = {f.name: isinstance(f.dataType, T.NumericType) for f in df.schema}
     volume = F.col("volume")
     # Columns that are numbers already need no reading of text.
-    unreadable = [(f"bad {c}", F.col(c).isNotNull() & F.col(c).try_cast("double").isNull()) for c in OHLC if not number[c]]
-    blank = lenient_double(volume).isNull() if number["volume"] else _blank(volume)
+    unreadable = [(f"bad {c}", F.col(c).isNotNull() & number(F.col(c)).isNull()) for c in OHLC if not numeric[c]]
+    blank = lenient_double(volume).isNull() if numeric["volume"] else _blank(volume)
+    if BAD_TIME in df.columns:
+        unreadable.insert(0, ("bad time", F.col(BAD_TIME)))
     checks = [*unreadable, ("missing volume", blank), ("bad volume", lenient_long(volume).isNull())]
     return F.coalesce(*[F.when(test, F.lit(reason)) for reason, test in checks])
 
@@ -86,6 +90,12 @@ def coerce_lenient(df: DataFrame, floats: list[str] = EQUITY_FLOATS, volume: str
     return df.withColumns({**typed, volume: lenient_long(F.col(volume))}).filter(F.col(volume).isNotNull())
 
 
+def read_times(df: DataFrame, time_col: str = TIME) -> DataFrame:
+    """Times to UTC, NULL where they cannot be read; ``_bad_time`` marks those rows."""
+    read = iso_utc(F.col(time_col))
+    return df.withColumn(BAD_TIME, F.col(time_col).isNotNull() & read.isNull()).withColumn(time_col, read)
+
+
 def to_utc(df: DataFrame, time_col: str = TIME, tz: str | None = None) -> DataFrame:
     return df.withColumn(time_col, utc(F.col(time_col), tz))
 

@@ -1,20 +1,17 @@
 """Ordered computations per key that survive a key holding a large share of all rows.
 
-A Spark window sends each ``partitionBy`` group to one task. That is right for ordinary series,
-and it is what happens here as long as no series is larger than ``max_rows``. A larger series is
-cut, along its own order, into segments of about that size. Every scan then runs in two steps:
+A Spark window sends each ``partitionBy`` group to one task. Here the rows, whatever their keys, are
+range-partitioned by key and order into segments of about ``max_rows`` rows, tie-break column
+included: many rows of one key and one time are divided like any others. Every scan then runs in two
+steps:
 
 1. a window over (key, segment), so the segments of one key are processed in parallel;
-2. one summary row per segment, scanned per key, whose result is carried into the segments.
+2. one summary row per key and segment, scanned per key, whose result is joined to the segments.
 
-The cut points are taken from a sample of the order columns and enter later plans as constants, so
-a recomputed task always sees the same segments. They cover the whole ordering, tie-break column
-included: many rows with one timestamp are divided like any others. Nothing is dropped or
-approximated; sampling decides only how even the segments are.
-
-The number of segments is at most about ``2 * MAX_SEGMENTS``, whatever the size of the data: the
-segment size grows with the row count once that bound is near. Cut points and carried summaries
-are therefore small enough to broadcast by construction.
+The segment size is constant, so the number of segments grows with the table and no task gets more
+than about a segment. A table of one segment needs no carry; that is the same computation with one
+summary less, and results do not depend on ``max_rows``. The segmented rows are written once and
+read back, so a recomputed task always sees the same segments.
 """
 
 from __future__ import annotations
@@ -25,16 +22,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from barloom.functions.times import micros
 from barloom.session import cut_lineage
 
 SEGMENT = "_segment"
-MAX_SEGMENTS = 4096
-MAX_SERIES_ROWS = 4_000_000
-_SAMPLES_PER_SEGMENT = 32
-_SAMPLE_SEED = 42
+#: Rows of a segment: what one task of an ordered scan gets.
+SEGMENT_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -69,29 +62,15 @@ def match_keys(keys: dict[str, str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(v)) for k, v in keys.items()])
 
 
-def _sortable(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return micros(F.col(name))
-    if isinstance(kind, T.DateType):
-        return F.unix_date(F.col(name))
-    return F.col(name)
-
-
-def _position(df: DataFrame, order: tuple[str, ...]) -> Column:
-    """A row's place in its series as one comparable value (NULLs first, as in the windows)."""
-    return F.struct(*[_sortable(df, c).alias(f"o{i}") for i, c in enumerate(order)])
-
-
 def arrange(
     df: DataFrame,
     keys: list[str] | tuple[str, ...],
     order: list[str] | tuple[str, ...],
-    max_rows: int = MAX_SERIES_ROWS,
+    max_rows: int = SEGMENT_ROWS,
 ) -> Series:
-    """Measure the series and split those above ``max_rows``.
+    """Cut the rows into segments of about ``max_rows``, in key and order.
 
-    The measurement is one partially aggregated count per key over the key columns only.
+    The number of segments comes from one count over no columns.
     """
     keys, order = tuple(keys), tuple(order)
     if not keys or not order:
@@ -99,69 +78,11 @@ def arrange(
     missing = [c for c in (*keys, *order) if c not in df.columns]
     if missing:
         raise ValueError(f"missing series columns: {missing}")
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest, total = sizes.agg(F.max("_n"), F.sum("_n")).first()
-    target = max(max_rows, math.ceil((total or 0) / MAX_SEGMENTS))
-    if not largest or largest <= target:
+    segments = math.ceil(df.count() / max_rows)
+    if segments <= 1:
         return Series(df, keys, order)
-    return Series(_tag(df, keys, order, _cut_points(df, keys, order, sizes, target)), keys, order, True)
-
-
-def _cut_points(df, keys, order, sizes, target) -> DataFrame:
-    """One row per oversized key: its cut points in two levels (blocks, then points in a block)."""
-    spark = df.sparkSession
-    names = {k: f"_k{i}" for i, k in enumerate(keys)}
-    # At most total / target <= MAX_SEGMENTS keys can be above the target, so this is small.
-    large = sizes.filter(F.col("_n") > target).select(*[F.col(k).alias(v) for k, v in names.items()], "_n")
-    sample = (
-        df.select(*keys, _position(df, order).alias("_series_at"))
-        .sample(fraction=min(1.0, _SAMPLES_PER_SEGMENT / target), seed=_SAMPLE_SEED)
-        .join(F.broadcast(large), match_keys(names))
-        .groupBy(*names.values(), "_n")
-        .agg(F.array_sort(F.collect_list("_series_at")).alias("_cut_sample"))
-    )
-    parts = F.ceil(F.col("_n") / F.lit(target))
-    points = F.array_sort(
-        F.array_distinct(
-            F.transform(
-                F.sequence(F.lit(1).cast("bigint"), parts - 1),
-                lambda i: F.get(F.col("_cut_sample"), F.floor(i * F.size("_cut_sample") / parts).cast("int")),
-            )
-        )
-    )
-    block = F.ceil(F.sqrt(F.size("_cut_list"))).cast("int")
-    cuts = (
-        sample.select(*names.values(), points.alias("_cut_list"))
-        .filter(F.size("_cut_list") > 0)
-        .withColumn("_cut_block", block)
-        .withColumn(
-            "_cut_fine",
-            F.expr(
-                "transform(sequence(0, size(_cut_list) - 1, _cut_block),"
-                " i -> slice(_cut_list, i + 1, _cut_block))"
-            ),
-        )
-        .select(*names.values(), "_cut_block", F.expr("transform(_cut_fine, b -> b[0])").alias("_cut_coarse"), "_cut_fine")
-    )
-    # Collected on purpose: a bounded set of constants that fixes the segments for good.
-    return spark.createDataFrame(cuts.collect(), cuts.schema)
-
-
-def _tag(df, keys, order, cuts) -> DataFrame:
-    names = {k: f"_k{i}" for i, k in enumerate(keys)}
-    # Which block the row falls into, then which cut inside it; 0 lies before the first cut.
-    segment = F.expr(
-        "CASE WHEN _cut_coarse IS NULL THEN NULL WHEN _series_at < _cut_coarse[0] THEN 0 ELSE"
-        " (size(filter(_cut_coarse, c -> c <= _series_at)) - 1) * _cut_block"
-        " + size(filter(_cut_fine[size(filter(_cut_coarse, c -> c <= _series_at)) - 1], c -> c <= _series_at))"
-        " END"
-    )
-    return (
-        df.withColumn("_series_at", _position(df, order))
-        .join(F.broadcast(cuts), match_keys(names), "left")
-        .withColumn(SEGMENT, segment.cast("int"))
-        .drop("_series_at", "_cut_block", "_cut_coarse", "_cut_fine", *names.values())
-    )
+    ranged = df.repartitionByRange(segments, *[F.col(c).asc_nulls_first() for c in (*keys, *order)])
+    return Series(cut_lineage(ranged.withColumn(SEGMENT, F.spark_partition_id())), keys, order, True)
 
 
 def _window(s: Series, reverse: bool):
@@ -170,44 +91,30 @@ def _window(s: Series, reverse: bool):
     return Window.partitionBy(*by).orderBy(*order)
 
 
-def _carry(s: Series, summaries: dict[str, Column], scan, reverse: bool) -> tuple[DataFrame, dict[str, str]]:
-    """Per segment: ``scan(summary)`` over the key's segments that come before it."""
+def _carry(s: Series, summaries: dict[str, Column], scan, reverse: bool) -> DataFrame:
+    """Join to each row ``scan(summary)`` over the segments of its key that come before its own.
+
+    A summary is the value its column has in the segment's last row (in scan direction), so it comes
+    out of the windows that computed the column. Adds ``_carry_<name>``.
+    """
     names = {**{k: f"_k{i}" for i, k in enumerate(s.keys)}, SEGMENT: "_ks"}
     order = F.col("_ks").desc() if reverse else F.col("_ks").asc()
     w = Window.partitionBy(*[v for k, v in names.items() if k != SEGMENT]).orderBy(order)
-    carried = (
-        s.df.filter(F.col(SEGMENT).isNotNull())
-        .groupBy(*[F.col(k).alias(v) for k, v in names.items()])
-        .agg(*[c.alias(n) for n, c in summaries.items()])
-        .select(*names.values(), *[scan(F.col(n), w).alias(n) for n in summaries])
-    )
-    return carried, names
-
-
-def _with_carry(df: DataFrame, carried: DataFrame, names: dict[str, str]) -> DataFrame:
-    return df.join(F.broadcast(carried), match_keys(names), "left").drop(*names.values())
-
-
-def _ends(s: Series, value: Column, reverse: bool, where: Column | None = None) -> Column:
-    """Aggregate: ``value`` of the segment's last row in scan direction (among rows ``where``)."""
-    at = F.struct(_position(s.df, s.order).alias("at"), value.alias("v"))
-    at = F.when(where, at) if where is not None else at
-    return (F.min if reverse else F.max)(at).getField("v")
+    last = s.df.withColumn("_more", F.lead(F.lit(True)).over(_window(s, reverse))).filter(F.col("_more").isNull())
+    carried = last.select(
+        *[F.col(k).alias(v) for k, v in names.items()], *[c.alias(f"_at_{n}") for n, c in summaries.items()]
+    ).select(*names.values(), *[scan(F.col(f"_at_{n}"), w).alias(f"_carry_{n}") for n in summaries])
+    return s.df.join(carried, match_keys(names), "left").drop(*names.values())
 
 
 def last_known(s: Series, values: dict[str, Column], reverse: bool = False) -> Series:
     """Latest non-NULL value at or before each row; at or after it with ``reverse``."""
     frame = _window(s, reverse).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = {n: F.last(v, ignorenulls=True).over(frame) for n, v in values.items()}
+    s = s.with_columns({n: F.last(v, ignorenulls=True).over(frame) for n, v in values.items()})
     if not s.split:
-        return s.with_columns(local)
-    carried, names = _carry(
-        s,
-        {f"_carry_{n}": _ends(s, v, reverse, v.isNotNull()) for n, v in values.items()},
-        lambda c, w: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        reverse,
-    )
-    df = _with_carry(s.df.withColumns(local), carried, names)
+        return s
+    before = lambda c, w: F.last(c, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    df = _carry(s, {n: F.col(n) for n in values}, before, reverse)
     filled = {n: F.coalesce(F.col(n), F.col(f"_carry_{n}")) for n in values}
     return replace(s, df=df.withColumns(filled).drop(*[f"_carry_{n}" for n in values]))
 
@@ -215,36 +122,73 @@ def last_known(s: Series, values: dict[str, Column], reverse: bool = False) -> S
 def neighbour(s: Series, values: dict[str, Column], reverse: bool = False) -> Series:
     """Value of the row just before each row (just after it with ``reverse``), NULLs included."""
     w = _window(s, reverse)
-    local = {n: F.lag(v).over(w) for n, v in values.items()}
     if not s.split:
-        return s.with_columns(local)
-    carried, names = _carry(
-        s,
-        {f"_carry_{n}": _ends(s, v, reverse) for n, v in values.items()},
-        lambda c, w: F.lag(c).over(w),
-        reverse,
-    )
-    df = _with_carry(s.df.withColumns({**local, "_row": F.row_number().over(w)}), carried, names)
+        return s.with_columns({n: F.lag(v).over(w) for n, v in values.items()})
+    own = {f"_own_{n}": v for n, v in values.items()}
+    lagged = {n: F.lag(v).over(w) for n, v in values.items()}
+    s = s.with_columns({**own, **lagged, "_row": F.row_number().over(w)})
+    df = _carry(s, {n: F.col(f"_own_{n}") for n in values}, lambda c, w: F.lag(c).over(w), reverse)
     joined = {n: F.when(F.col("_row") == 1, F.col(f"_carry_{n}")).otherwise(F.col(n)) for n in values}
-    return replace(s, df=df.withColumns(joined).drop("_row", *[f"_carry_{n}" for n in values]))
+    return replace(s, df=df.withColumns(joined).drop("_row", *own, *[f"_carry_{n}" for n in values]))
 
 
 def running_sum(
     s: Series, values: dict[str, Column], reverse: bool = False, inclusive: bool = True
 ) -> Series:
-    """Sum over the rows up to each row (from it on with ``reverse``); 0 where there are none."""
-    end = Window.currentRow if inclusive else -1
-    frame = _window(s, reverse).rowsBetween(Window.unboundedPreceding, end)
+    """Sum over the rows up to each row (from it on with ``reverse``); 0 where there are none.
+
+    Give decimals or integers where the result must not depend on how rows are grouped.
+    """
+    w = _window(s, reverse)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    frame = upto if inclusive else w.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0)
     local = {n: F.coalesce(F.sum(v).over(frame), zero) for n, v in values.items()}
     if not s.split:
         return s.with_columns(local)
-    carried, names = _carry(
-        s,
-        {f"_carry_{n}": F.sum(v) for n, v in values.items()},
-        lambda c, w: F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)),
-        reverse,
-    )
-    df = _with_carry(s.df.withColumns(local), carried, names)
+    whole = {f"_whole_{n}": F.sum(v).over(upto) for n, v in values.items()}
+    s = s.with_columns({**local, **whole})
+    before = lambda c, w: F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    df = _carry(s, {n: F.col(f"_whole_{n}") for n in values}, before, reverse)
     total = {n: F.col(n) + F.coalesce(F.col(f"_carry_{n}"), zero) for n in values}
-    return replace(s, df=df.withColumns(total).drop(*[f"_carry_{n}" for n in values]))
+    return replace(s, df=df.withColumns(total).drop(*whole, *[f"_carry_{n}" for n in values]))
+
+
+def known_around(s: Series, cols: list[str], index: str, before: str, after: str) -> Series:
+    """Row number (``index``) and, per column, the known value before and after each row with its row
+    number, as structs ``<before><col>`` and ``<after><col>``. One carry brings all of it.
+    """
+    w = _window(s, False)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    s = s.with_columns({index: F.row_number().over(w).cast("bigint")})
+    known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"), F.col(index).alias("i"))) for c in cols}
+    back = {f"{before}{c}": F.last(v, ignorenulls=True).over(upto) for c, v in known.items()}
+    ahead = {f"{after}{c}": F.first(v, ignorenulls=True).over(onward) for c, v in known.items()}
+    if not s.split:
+        return s.with_columns({**back, **ahead})
+    first = {f"_first_{c}": F.first(v, ignorenulls=True).over(upto) for c, v in known.items()}
+    s = s.with_columns({**back, **ahead, **first})
+    names = {**{k: f"_k{i}" for i, k in enumerate(s.keys)}, SEGMENT: "_ks"}
+    by = Window.partitionBy(*[v for k, v in names.items() if k != SEGMENT]).orderBy("_ks")
+    earlier, later = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
+    last = s.df.withColumn("_more", F.lead(F.lit(True)).over(w)).filter(F.col("_more").isNull())
+    ends = last.select(
+        *[F.col(k).alias(v) for k, v in names.items()], F.col(index).alias("_n"),
+        *[F.col(f"{before}{c}").alias(f"_l_{c}") for c in cols], *[F.col(f"_first_{c}").alias(f"_f_{c}") for c in cols],
+    ).withColumn("_offset", F.coalesce(F.sum("_n").over(earlier), F.lit(0).cast("bigint")))
+    moved = lambda c: F.when(c.isNotNull(), F.struct(c["v"].alias("v"), (c["i"] + F.col("_offset")).alias("i")))
+    ends = ends.withColumns({f"{p}{c}": moved(F.col(f"{p}{c}")) for p in ("_l_", "_f_") for c in cols})
+    carried = ends.select(
+        *names.values(), "_offset",
+        *[F.last(f"_l_{c}", ignorenulls=True).over(earlier).alias(f"_cb_{c}") for c in cols],
+        *[F.first(f"_f_{c}", ignorenulls=True).over(later).alias(f"_ca_{c}") for c in cols],
+    )
+    df = s.df.join(carried, match_keys(names), "left")
+    df = df.withColumns({
+        index: F.col(index) + F.col("_offset"),
+        **{f"{before}{c}": F.coalesce(moved(F.col(f"{before}{c}")), F.col(f"_cb_{c}")) for c in cols},
+        **{f"{after}{c}": F.coalesce(moved(F.col(f"{after}{c}")), F.col(f"_ca_{c}")) for c in cols},
+    })
+    helpers = [*names.values(), "_offset", *first, *[f"_cb_{c}" for c in cols], *[f"_ca_{c}" for c in cols]]
+    return replace(s, df=df.drop(*helpers))

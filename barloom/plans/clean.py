@@ -11,13 +11,13 @@ from barloom.functions.times import iso_utc
 from barloom.operators.adjust import back_adjust
 from barloom.operators.aggregates import all_of, any_of
 from barloom.operators.dedupe import dedupe_first
-from barloom.operators.fill import handle_missing
+from barloom.operators.fill import enabled_policies, handle_missing
 from barloom.operators.ordering import sort_bars
 from barloom.operators.project import (
-    coerce_strict, keep_columns, normalize_time_column, require_and_slice, require_fields, to_utc,
+    BAD_TIME, coerce_strict, keep_columns, normalize_time_column, read_times, require_and_slice, require_fields,
 )
 from barloom.operators.quality import isolate_failures
-from barloom.operators.series import MAX_SERIES_ROWS
+from barloom.operators.series import SEGMENT_ROWS
 from barloom.schemas import EQUITY_FIELDS, EQUITY_FLOATS, EQUITY_PRICES, FUTURES_FIELDS, ORD, SYMBOL, TIME
 
 # The policies the two product lines run by default.
@@ -27,7 +27,7 @@ EQUITY_POLICIES = ("drop_nan",)
 
 def clean_futures(
     df: DataFrame, policies=FUTURES_POLICIES, series: str = SYMBOL, order=(TIME, ORD), value=0,
-    isolate: bool = False, max_rows: int = MAX_SERIES_ROWS, for_storage: bool = False,
+    isolate: bool = False, max_rows: int = SEGMENT_ROWS, for_storage: bool = False,
 ):
     """Futures bars, typed, in series and time order, back-adjusted across volume rolls.
 
@@ -37,9 +37,12 @@ def clean_futures(
     that cannot be typed fails the query. ``for_storage`` keeps the order columns and leaves out the
     final sort, which the table layout replaces.
     """
-    df = to_utc(require_fields(normalize_time_column(df), FUTURES_FIELDS))
-    drop_cols = [c for c in df.columns if c != ORD]
-    df = handle_missing(df, policies, value, (series,), order, max_rows, drop_cols)
+    df = read_times(require_fields(normalize_time_column(df), FUTURES_FIELDS))
+    drop_cols = [c for c in df.columns if c not in (ORD, TIME, BAD_TIME)]
+    if "drop_nan" in enabled_policies(policies):
+        # A time that cannot be read is no missing time: it fails its series.
+        df = df.filter(F.col(TIME).isNotNull() | F.col(BAD_TIME))
+    df = handle_missing(df, policies, value, (series,), order, max_rows, drop_cols, untouched=(BAD_TIME,))
     status = None
     if isolate:
         df, status = isolate_failures(df, key=series, order=order)
@@ -86,7 +89,7 @@ def _refusals() -> list[tuple[str, list[Column]]]:
 
 
 def screen_equities(
-    df: DataFrame, policies=EQUITY_POLICIES, order=(ORD,), value=0, max_rows: int = MAX_SERIES_ROWS
+    df: DataFrame, policies=EQUITY_POLICIES, order=(ORD,), value=0, max_rows: int = SEGMENT_ROWS
 ) -> DataFrame:
     """Typed equity rows, each with the ``reason`` it would be refused for (NULL if it would not)."""
     typed = _typed_equities(df, policies, tuple(order), value, max_rows)
@@ -95,7 +98,7 @@ def screen_equities(
 
 
 def clean_equities(
-    df: DataFrame, policies=EQUITY_POLICIES, order=(ORD,), value=0, max_rows: int = MAX_SERIES_ROWS,
+    df: DataFrame, policies=EQUITY_POLICIES, order=(ORD,), value=0, max_rows: int = SEGMENT_ROWS,
     for_storage: bool = False,
 ) -> DataFrame:
     """Equity bars: readable, positive, one row per (symbol, time), in that order."""

@@ -8,30 +8,35 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.operators.calendars import fan_out, range_bounds
+from barloom.functions.symbols import upper_symbol
+from barloom.functions.times import iso_utc, micros
+from barloom.operators.calendars import fan_out, range_bounds, resolve_range_per_symbol
 from barloom.operators.combine import only_universe
 from barloom.operators.dedupe import dedupe_first
 from barloom.operators.predicates import in_day_range, in_range
 from barloom.operators.project import canonical_symbol, check_asset_type
-from barloom.operators.series import MAX_SERIES_ROWS
-from barloom.plans.clean import EQUITY_POLICIES, FUTURES_POLICIES, clean_equities, clean_futures
+from barloom.operators.series import SEGMENT_ROWS
+from barloom.plans.clean import EQUITY_POLICIES, FUTURES_POLICIES, clean_equities, clean_futures, screen_equities
 from barloom.schemas import EQUITY_SCHEMA, FUTURES_SCHEMA, ORD, SYMBOL, TIME
-from barloom.session import cut_lineage, path_exists, remove_path, scratch_path
-from barloom.sinks.tables import insert_new, write_raw
+from barloom.session import cut_lineage, scratch_path, temporary_copies
+from barloom.sinks.tables import append_bars, insert_new, new_rows, status_findings, validate_row_count, write_findings, write_raw
 from barloom.sources.landing import load_contracts
-from barloom.sources.stored import last_period
+from barloom.sources.stored import read_bars
 
 
 @dataclass(frozen=True)
 class IngestResult:
-    """What one run did. ``status`` has a row per series (futures), ``refused`` per contract."""
+    """What one run did. ``status`` has a row per symbol: rows landed, refused, inserted and already known,
+    ``status`` and ``first_reason``; ``refused`` a row per contract of another asset type.
+    """
 
     start: date
     end: date
     landed: int
     inserted: int
     refused: DataFrame
-    status: DataFrame | None
+    status: DataFrame
+    validation: DataFrame
 
 
 def universe_of(contracts: DataFrame, asset: str, roll: str = "v", rank: str | int = 0):
@@ -56,35 +61,71 @@ def ingest(
     rank: str | int = 0,
     series: str = SYMBOL,
     grain: str = "month",
-    max_rows: int = MAX_SERIES_ROWS,
+    max_rows: int = SEGMENT_ROWS,
+    findings: str | None = None,
 ) -> IngestResult:
-    """One ingestion run: contracts, range, raw append, cleaning, insert-ignore.
+    """One ingestion run: contracts, range, raw append, cleaning, insert-ignore, validation, findings.
 
-    ``landed`` holds the landed bars of the asset class with an ordinal ``_ord``. The raw rows are
-    stored before cleaning, so they survive a series that cannot be cleaned. Running again over the
-    same range adds nothing to ``table``.
+    ``landed`` holds the landed bars of the asset class with an ordinal ``_ord``; times may be text. Each
+    symbol is loaded from the day after its own latest bar, unless ``start`` is given. Rows of the range, and rows
+    whose time cannot be read, are stored as they came before cleaning. What was stored is what is cleaned.
+    Running again over the same range adds nothing to ``table``. ``findings`` names a folder for
+    the status of each symbol.
     """
-    universe, refused = universe_of(load_contracts(spark, contracts), asset, roll, rank)
-    schema = FUTURES_SCHEMA if asset == "FUTURE" else EQUITY_SCHEMA
-    # Only the last period is read for the latest time.
-    stored = last_period(spark, table) if path_exists(spark, table) else spark.createDataFrame([], schema)
-    first, last = range_bounds(stored, start, end, seed, today)
-    batch = only_universe(landed.filter(in_day_range(first, last)), universe)
-    landed_rows = write_raw(batch, raw)
-    status = None
-    if not landed_rows:
-        return IngestResult(first, last, 0, 0, refused, status)
-    if asset == "FUTURE":
-        clean, status = clean_futures(
-            batch, policies or FUTURES_POLICIES, series, isolate=True, max_rows=max_rows, for_storage=True
+    with temporary_copies(spark) as keep:
+        kept_status = scratch_path(spark, "status")
+        keep.add(kept_status)
+        spark_schema = FUTURES_SCHEMA if asset == "FUTURE" else EQUITY_SCHEMA
+        universe, refused = universe_of(load_contracts(spark, contracts), asset, roll, rank)
+        stored = read_bars(spark, table, schema=spark_schema)
+        if start:
+            first, last = range_bounds(None, start, end, seed, today)
+            spans = universe.select(SYMBOL, F.lit(first).alias("start_date"), F.lit(last).alias("end_date"))
+        else:
+            spans = cut_lineage(resolve_range_per_symbol(universe, stored, end, seed, today))
+            bounds = spans.agg(F.min("start_date"), F.max("end_date"), F.count_if(F.col("start_date").isNull())).first()
+            if bounds[2] or bounds[1] is None:
+                raise ValueError("cannot determine the start date: none given, no stored rows and no seed")
+            first, last = bounds[0], bounds[1]
+        day = F.to_date(iso_utc(F.col(TIME)))
+        spans = spans.select(F.col(SYMBOL).alias("_symbol"), "start_date", "end_date")
+        wanted = (F.col(SYMBOL) == F.col("_symbol")) & F.coalesce(day.between(F.col("start_date"), F.col("end_date")), F.lit(True))
+        batch = cut_lineage(landed.join(spans, wanted, "left_semi"))
+        landed_rows = write_raw(batch, raw)
+        if asset == "FUTURE":
+            clean, screened = clean_futures(
+                batch, policies or FUTURES_POLICIES, series, isolate=True, max_rows=max_rows, for_storage=True
+            )
+            # A failed series takes all rows of its symbols out.
+            outcome = screened.select(F.col(series).alias("_series"), "first_reason", "status")
+            counts = batch.groupBy(SYMBOL, F.col(series).alias("_series")).agg(F.count(F.lit(1)).alias("_rows"))
+            screened = counts.join(outcome, "_series").groupBy(SYMBOL).agg(
+                F.sum(F.when(F.col("status") == "failed", F.col("_rows")).otherwise(F.lit(0))).alias("refused"),
+                F.min("first_reason").alias("first_reason"), F.min("status").alias("status"),
+            )
+        else:
+            rows = screen_equities(batch, policies or EQUITY_POLICIES, max_rows=max_rows)
+            worst = F.min(F.when(F.col("reason").isNotNull(), F.struct(ORD, "reason"))).getField("reason")
+            screened = rows.groupBy(SYMBOL).agg(F.count("reason").alias("refused"), worst.alias("first_reason"), F.lit("ok").alias("status"))
+            clean = clean_equities(batch, policies or EQUITY_POLICIES, max_rows=max_rows, for_storage=True)
+        before = stored.count()
+        # The new rows are written once and read for the insert and for the status.
+        new = cut_lineage(new_rows(cut_lineage(clean), table))
+        inserted = append_bars(new, table, grain)
+        key = F.col(SYMBOL) if asset == "FUTURE" else upper_symbol(F.col(SYMBOL))
+        status = (
+            batch.groupBy(key.alias(SYMBOL)).agg(F.count(F.lit(1)).alias("landed"))
+            .join(screened, SYMBOL, "left")
+            .join(new.groupBy(SYMBOL).agg(F.count(F.lit(1)).alias("inserted")), SYMBOL, "left")
+            .fillna(0, ["refused", "inserted"])
+            .withColumn("known", F.col("landed") - F.col("refused") - F.col("inserted"))
+            .select(SYMBOL, "landed", "refused", "inserted", "known", F.coalesce("status", F.lit("ok")).alias("status"), "first_reason")
         )
-    else:
-        clean = clean_equities(batch, policies or EQUITY_POLICIES, max_rows=max_rows, for_storage=True)
-    # The clean rows are read for their periods and again for the insert.
-    copy = scratch_path(spark, "clean")
-    inserted = insert_new(cut_lineage(clean, copy), table, grain=grain)
-    remove_path(spark, copy)
-    return IngestResult(first, last, landed_rows, inserted, refused, status)
+        status = cut_lineage(status, kept_status)
+        if findings:
+            write_findings(status_findings(status), findings)
+    validation = validate_row_count(read_bars(spark, table, schema=spark_schema), before + inserted)
+    return IngestResult(first, last, landed_rows, inserted, refused, status, validation)
 
 
 def backfill(
@@ -99,15 +140,34 @@ def backfill(
     within = in_day_range(start, end) if daily else in_range(start, end)
     rows = dedupe_first(only_universe(bars.filter(within), universe), keys, order)
     work = fan_out(universe.select(SYMBOL).distinct(), start, end, unit, n)
-    # Rows per calendar cell are counted first; a chunk then sums the few cells it spans.
-    cell, step = ("day", "INTERVAL 1 DAY") if daily else ("minute", "INTERVAL 1 MINUTE")
-    counted = rows.groupBy(SYMBOL, F.date_trunc(cell, TIME).alias("_cell")).agg(F.count(F.lit(1)).alias("_n"))
-    cells = work.withColumn(
-        "_cell", F.explode(F.expr(f"sequence(date_trunc('{cell}', chunk_start), chunk_end, {step})"))
+    width = n * {"daily": 86_400, "hourly": 3_600, "min": 60}[unit.lower()] * 1_000_000
+    origin = micros(F.lit(start).cast("timestamp"))
+    # A row's place in the range: its day for daily chunks, its time otherwise.
+    place = micros(F.date_trunc("day", TIME) if daily else F.col(TIME)) - origin
+    chunk = F.floor(place / F.lit(width)).cast("bigint")
+    on_border = (F.pmod(place, F.lit(width)) == 0) & (chunk > 0)
+    counted = (
+        rows.select(SYMBOL, F.explode(F.when(on_border, F.array(chunk, chunk - 1)).otherwise(F.array(chunk))).alias("_chunk"))
+        .groupBy(SYMBOL, "_chunk")
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    work = (
-        cells.join(counted, [SYMBOL, "_cell"], "left")
-        .groupBy(SYMBOL, "chunk_start", "chunk_end")
-        .agg(F.coalesce(F.sum("_n"), F.lit(0).cast("bigint")).alias("rows"))
+    numbered = work.withColumn("_chunk", F.floor((micros(F.col("chunk_start")) - origin) / F.lit(width)).cast("bigint"))
+    work = numbered.join(counted, [SYMBOL, "_chunk"], "left").select(
+        SYMBOL, "chunk_start", "chunk_end", F.coalesce("_n", F.lit(0).cast("bigint")).alias("rows")
     )
     return rows, work
+
+
+def backfill_stored(
+    spark: SparkSession, bars: DataFrame, universe: DataFrame, start, end, raw: str, table: str, clean, unit: str = "daily",
+    n: int = 100, grain: str = "month",
+) -> tuple[int, DataFrame]:
+    """A backfill into storage: rows to ``raw`` as they came, cleaned by ``clean``, insert-ignored into ``table``.
+
+    Returns the number of rows inserted and the work list.
+    """
+    rows, work = backfill(bars, universe, start, end, unit, n)
+    write_raw(rows, raw)
+    with temporary_copies(spark):
+        inserted = insert_new(cut_lineage(clean(rows)), table, grain=grain)
+    return inserted, work

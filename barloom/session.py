@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,8 +41,8 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests, local runs) is a temporary one made, and it is
-    recorded on the context so that later calls share it.
+    A temporary folder serves only where driver and executors are one process (tests, local runs);
+    on a cluster each machine would write to a disk of its own, so there the setting is demanded.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -49,6 +51,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="barloom-"))
     return context.getCheckpointDir().rstrip("/")
 
@@ -58,17 +62,41 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+#: Copies made by ``cut_lineage`` that nobody has removed yet.
+_COPIES: set[str] = set()
+
+
 def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and go on from there, with a plan that starts at a scan.
 
-    Parquet rather than ``checkpoint()``: later steps read only the columns they need. The copy stays
-    until the caller or the folder's owner removes it, because lost tasks may have to read it again.
+    Parquet rather than ``checkpoint()``: later steps read only the columns they need. Results that
+    are still to be read need the copy, so it stays until ``remove_copies`` (or the caller) removes it.
     """
     path = path or scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
+    _COPIES.add(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary_copies(spark: SparkSession):
+    """Remove the copies that are made inside the block, also when it fails, but for paths added to the set it yields."""
+    before, keep = set(_COPIES), set()
+    try:
+        yield keep
+    finally:
+        for path in _COPIES - before - keep:
+            remove_path(spark, path)
+
+
+def remove_copies(spark: SparkSession) -> int:
+    """Remove all copies made so far; results built on them can no longer be read. Returns how many."""
+    paths = set(_COPIES)
+    for path in paths:
+        remove_path(spark, path)
+    return len(paths)
+
+
 def hadoop_path(spark: SparkSession, path: str):
     """The path and its file system, as Hadoop objects."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -83,3 +111,4 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def remove_path(spark: SparkSession, path: str) -> None:
     target, fs = hadoop_path(spark, path)
     fs.delete(target, True)
+    _COPIES.discard(path)

@@ -16,21 +16,18 @@ from barloom.operators import dedupe
 from barloom.operators.aggregates import row_count
 from barloom.operators.predicates import in_range, symbol_in
 from barloom.schemas import ORD, SYMBOL, TIME
-from barloom.session import path_exists, remove_path
-from barloom.sources.stored import PERIOD, prune
+from barloom.session import remove_path
+from barloom.sources.stored import PERIOD, period_folders, prune, read_stored
 
-#: Up to this many periods are named one by one when stored keys are looked up.
-_NAMED_PERIODS = 1000
 
-
-def write_raw(df: DataFrame, path: str) -> int:
+def write_raw(df: DataFrame, path: str, mode: str = "append") -> int:
     """Append a batch as it came, before any cleaning; only the landing order is left out.
 
     Returns the number of rows, counted by the write itself.
     """
     counted = Observation()
     rows = df.drop(ORD).observe(counted, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("append").parquet(path)
+    rows.write.mode(mode).parquet(path)
     return counted.get["rows"]
 
 
@@ -52,37 +49,30 @@ def append_bars(df: DataFrame, path: str, grain: str = "month") -> int:
     return counted.get["rows"]
 
 
-def _stored_for(batch: DataFrame, path: str, grain: str) -> DataFrame:
-    """The part of a stored table that can hold keys of the batch: its periods, nothing else.
-
-    Periods are calendar units, so there are few of them however large the batch is.
-    """
-    stored = batch.sparkSession.read.parquet(path)
-    periods = batch.select(period_start(F.col(TIME), grain).alias(PERIOD)).distinct().dropna()
-    span = periods.agg(F.count(PERIOD).alias("n"), F.min(PERIOD).alias("lo"), F.max(PERIOD).alias("hi")).first()
-    if span.n == 0:
+def _stored_for(batch: DataFrame, path: str) -> DataFrame:
+    """The part of a stored table that can hold keys of the batch: the periods its times span."""
+    stored = read_stored(batch.sparkSession, path, batch.schema)
+    span = batch.agg(F.min(TIME).alias("lo"), F.max(TIME).alias("hi")).first()
+    if span.lo is None:
         return stored.limit(0)
-    if span.n > _NAMED_PERIODS:
-        return stored.filter(F.col(PERIOD).between(span.lo, span.hi))
-    return stored.filter(F.col(PERIOD).isin([r[0] for r in periods.collect()]))
+    return prune(stored, span.lo, span.hi)
 
 
-def insert_new(batch: DataFrame, path: str, keys=dedupe.KEYS, order=(ORD,), grain: str = "month") -> int:
-    """Insert-ignore into a stored table; returns the number of rows added.
+def new_rows(batch: DataFrame, path: str, keys=dedupe.KEYS, order=(ORD,)) -> DataFrame:
+    """What an insert-ignore would add to a stored table. Cut the lineage of a costly batch first: it is read twice."""
+    return dedupe.insert_ignore(batch, _stored_for(batch, path), keys, order)
+
 
-    Repeating a batch adds nothing. Cut the lineage of a costly batch first: it is read twice.
+def insert_new(batch: DataFrame, path: str, keys=dedupe.KEYS, order=(ORD,), grain: str = "month") -> int:
+    """Insert-ignore into a stored table of any grain; returns the number of rows added. ``grain`` is that of
+    the folders the new rows go to. Repeating a batch adds nothing.
     """
-    if path_exists(batch.sparkSession, path):
-        rows = dedupe.insert_ignore(batch, _stored_for(batch, path, grain), keys, order)
-    else:
-        rows = dedupe.insert_ignore(batch, batch.limit(0), keys, order)
-    return append_bars(rows, path, grain)
+    return append_bars(new_rows(batch, path, keys, order), path, grain)
 
 
 def insert_all(batch: DataFrame, path: str, keys=dedupe.KEYS, grain: str = "month") -> int:
     """Strict insert into a stored table: any duplicate key fails it before anything is written."""
-    stored = _stored_for(batch, path, grain) if path_exists(batch.sparkSession, path) else batch.limit(0)
-    return append_bars(dedupe.insert_strict(batch, stored, keys), path, grain)
+    return append_bars(dedupe.insert_strict(batch, _stored_for(batch, path), keys), path, grain)
 
 
 def doomed(start, end, symbols=None) -> Column:
@@ -101,9 +91,11 @@ def delete_stored(spark: SparkSession, path: str, start, end, symbols=None, grai
 
     Only partitions that lose rows are rewritten, by way of a staging folder inside the table (its
     name keeps readers away). A partition that loses all its rows is removed, because a dynamic
-    overwrite leaves it alone. Safe to repeat after an interruption.
+    overwrite leaves it alone. If the run is interrupted, the staging folder holds the rows that stay.
     """
-    table = prune(spark.read.parquet(path), start, end, grain)
+    if not period_folders(spark, path):
+        return 0
+    table = prune(spark.read.parquet(path), start, end)
     gone = doomed(start, end, symbols)
     touched = (
         table.groupBy(PERIOD)
@@ -144,9 +136,9 @@ def missing_findings(missing: DataFrame) -> DataFrame:
 
 
 def status_findings(status: DataFrame) -> DataFrame:
-    """Per-symbol insert status as findings of the same shape."""
+    """Per-symbol insert status (``status``, ``inserted``, ``first_reason``) as findings of the same shape."""
     text = F.when(
-        F.col("status") == "ok", F.concat(F.lit("inserted "), F.col("rows").cast("string"), F.lit(" rows"))
+        F.col("status") == "ok", F.concat(F.lit("inserted "), F.col("inserted").cast("string"), F.lit(" rows"))
     ).otherwise(F.concat(F.lit("failed: "), F.col("first_reason")))
     return status.select(
         F.lit("insert_status").alias("kind"), SYMBOL, F.lit(None).cast("timestamp").alias("ts"), text.alias("detail")

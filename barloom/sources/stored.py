@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.functions.times import period_start
 from barloom.operators.predicates import in_range
@@ -11,30 +12,58 @@ from barloom.schemas import TIME
 from barloom.session import hadoop_path
 
 PERIOD = "period"
+_NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"
 
 
-def prune(df: DataFrame, start, end, grain: str) -> DataFrame:
-    """Keep the partitions that can hold times of the range; a filter on ``time`` alone would not."""
+def prune(df: DataFrame, start, end) -> DataFrame:
+    """Keep the partitions that can hold times of the range; a filter on ``time`` alone would not.
+
+    Right for every grain, and for folders of several: the partition of a time begins on its day, its
+    month or its year, and the others of the range begin later.
+    """
+    period = F.col(PERIOD)
     if start is not None:
-        df = df.filter(F.col(PERIOD) >= period_start(F.lit(start).cast("timestamp"), grain))
+        first = F.lit(start).cast("timestamp")
+        holding = [period_start(first, grain) for grain in ("year", "month", "day")]
+        df = df.filter((period > F.to_date(first)) | period.isin(*holding))
     if end is not None:
-        df = df.filter(F.col(PERIOD) <= period_start(F.lit(end).cast("timestamp"), grain))
+        df = df.filter(period <= F.to_date(F.lit(end).cast("timestamp")))
     return df
 
 
+def period_folders(spark: SparkSession, path: str) -> list[str]:
+    """Days in the names of a table's partition folders; none if there is no table yet."""
+    target, fs = hadoop_path(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [entry.getPath().getName() for entry in fs.listStatus(target)]
+    days = [n.split("=", 1)[1] for n in names if n.startswith(f"{PERIOD}=")]
+    return sorted(d for d in days if d[:1].isdigit() or d == _NO_PERIOD)
+
+
+def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table with its ``period``; empty, with the given schema, where nothing is stored (any more)."""
+    if period_folders(spark, path):
+        return spark.read.parquet(path)
+    kept = [f for f in schema.fields if f.name != PERIOD]
+    return spark.createDataFrame([], T.StructType([*kept, T.StructField(PERIOD, T.DateType())]))
+
+
 def read_bars(
-    spark: SparkSession, source: str, start=None, end=None, grain: str = "month", time_col: str = TIME,
-    merge_schema: bool = False,
+    spark: SparkSession, source: str, start=None, end=None, time_col: str = TIME,
+    merge_schema: bool = False, schema: T.StructType | None = None,
 ) -> DataFrame:
     """Stored bars from a path or a catalog table, restricted to ``start <= time <= end`` if given.
 
     ``merge_schema`` brings together columns that batches added over time (raw tables). It reads every
-    file's footer, so it is off unless asked for.
+    file's footer, so it is off unless asked for. A table that holds nothing is read with ``schema``.
     """
     is_path = "/" in source or ":" in source
+    if is_path and schema is not None and not period_folders(spark, source):
+        return spark.createDataFrame([], schema)
     df = spark.read.option("mergeSchema", merge_schema).parquet(source) if is_path else spark.table(source)
     if PERIOD in df.columns:
-        df = prune(df, start, end, grain).drop(PERIOD)
+        df = prune(df, start, end).drop(PERIOD)
     if start is not None and end is not None:
         return df.filter(in_range(start, end, time_col))
     if start is not None:
@@ -47,10 +76,8 @@ def read_bars(
 def last_period(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the latest period: enough to find a table's latest time without scanning it all.
 
-    The period comes from the folder names.
+    The period comes from the folder names; a table without them is returned whole.
     """
-    target, fs = hadoop_path(spark, path)
-    names = [entry.getPath().getName() for entry in fs.listStatus(target)]
-    days = [n.split("=", 1)[1] for n in names if n.startswith(f"{PERIOD}=") and n.split("=", 1)[1][:1].isdigit()]
+    days = [d for d in period_folders(spark, path) if d != _NO_PERIOD]
     table = spark.read.parquet(path)
-    return table.filter(F.col(PERIOD) == F.lit(max(days)).cast("date")) if days else table.limit(0)
+    return table.filter(F.col(PERIOD) == F.lit(days[-1]).cast("date")) if days else table

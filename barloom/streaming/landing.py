@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barloom.session import cut_lineage, remove_path, scratch_path
+from barloom.session import cut_lineage, temporary_copies
 from barloom.sinks.tables import insert_new, write_raw
 
 
@@ -27,22 +27,25 @@ def ingest_landed(
     checkpoint: str,
     fmt: str = "parquet",
     grain: str = "month",
-    max_files: int = 1000,
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Ingest the files landed since the last run, ``max_files`` at a time.
+    """Ingest the files landed since the last run in one batch, or ``max_files`` at a time.
 
+    Smaller batches give the same table only if ``clean`` looks at single rows: fills and adjustments see a
+    batch, not the series.
     ``clean`` turns a batch of landed rows into storable ones, e.g.
     ``lambda df: clean_equities(df, for_storage=True)``. Duplicates are resolved per micro-batch by
     the landing order and across micro-batches by what is stored first.
     """
 
-    def take(batch: DataFrame, _batch_id: int) -> None:
-        if write_raw(batch, raw):
-            copy = scratch_path(spark, "clean")
-            insert_new(cut_lineage(clean(batch), copy), table, grain=grain)
-            remove_path(spark, copy)
+    def take(batch: DataFrame, batch_id: int) -> None:
+        # A batch that is delivered again replaces its own raw rows.
+        if write_raw(batch, f"{raw.rstrip('/')}/batch={batch_id}", mode="overwrite"):
+            with temporary_copies(spark):
+                insert_new(cut_lineage(clean(batch)), table, grain=grain)
 
-    landed = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files).load(landing)
+    reader = spark.readStream.schema(schema).format(fmt)
+    landed = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(landing)
     return (
         landed.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)

@@ -39,6 +39,17 @@ def filter_drop_corrupt(t):
     return predicates.drop_corrupt(t.dirty(), prices=["close"])
 
 
+_PRICES = ["open", "high", "low", "close", "adj_open", "adj_high", "adj_low", "adjusted_close"]
+
+
+@query(
+    "SELECT _ord FROM equities WHERE NOT (" + " OR ".join(f"coalesce(TRY_CAST({p} AS DOUBLE) <= 0, false)" for p in _PRICES)
+    + " OR coalesce(TRY_CAST(volume AS DOUBLE) < 0, false))"
+)
+def filter_drop_corrupt_all_prices(t):
+    return predicates.drop_corrupt(t.equities()).select("_ord")
+
+
 @query("SELECT * FROM dirty WHERE time IS NOT NULL AND symbol IS NOT NULL")
 def filter_drop_unkeyed(t):
     return predicates.drop_unkeyed(t.dirty())
@@ -99,9 +110,12 @@ def earliest_bar_per_symbol(t):
     return ordering.earliest_bar_per_symbol(t.dirty())
 
 
-@query()
+@query("SELECT least(10, count(*)) AS rows, least(10, count(*)) AS stored FROM bars")
 def head_rows(t):
-    return ordering.head_rows(t.bars(), 10).select(*FUTURES_FIELDS)
+    """Which rows come is open: that there are so many, and that all are rows of the table."""
+    head = ordering.head_rows(t.bars(), 10)
+    stored = head.intersectAll(t.bars()).agg(F.count(F.lit(1)).alias("stored"))
+    return head.agg(F.count(F.lit(1)).alias("rows")).join(stored, F.lit(True))
 
 
 @query("SELECT ts FROM events ORDER BY ts")

@@ -61,7 +61,7 @@ def read_futures_bars(t):
 def read_stored_bars(t):
     path = scratch_path(t.spark, "stored")
     sink.append_bars(t.bars("hour"), path, grain="day")
-    return sources.read_bars(t.spark, path, "2024-01-05", "2024-01-20", grain="day").select(*FUTURES_FIELDS)
+    return sources.read_bars(t.spark, path, "2024-01-05", "2024-01-20").select(*FUTURES_FIELDS)
 
 
 @query("SELECT CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_name END AS ticker FROM customer WHERE c_custkey % 7 <> 0")
@@ -139,7 +139,56 @@ def delete_stored(t):
     path = scratch_path(t.spark, "delete")
     sink.append_bars(t.bars("hour"), path, grain="day")
     sink.delete_stored(t.spark, path, "2024-01-08", "2024-01-12 12:00:00", grain="day")
-    return sources.read_bars(t.spark, path, grain="day").select(*FUTURES_FIELDS)
+    return sources.read_bars(t.spark, path).select(*FUTURES_FIELDS)
+
+
+_SHORT = ["symbol", "time", "close", "volume"]
+
+
+@query(
+    "SELECT symbol, time, close, volume FROM bars UNION ALL SELECT symbol, time, close, volume FROM hour_bars h"
+    " WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.symbol = h.symbol AND b.time = h.time)"
+)
+def insert_ignore_stored_day(t):
+    """Into a table with a folder per day, with the month as the grain of the insert."""
+    path = scratch_path(t.spark, "insert-day")
+    sink.append_bars(t.bars().select(*_SHORT), path, grain="day")
+    batch = t.bars("hour").select(*_SHORT, F.col("volume").alias("_ord"))
+    for _ in range(2):
+        sink.insert_new(batch, path)
+    return sources.read_bars(t.spark, path).select(*_SHORT)
+
+
+@query(f"SELECT {BAR} FROM hour_bars WHERE NOT (time BETWEEN TIMESTAMP '2024-01-08' AND TIMESTAMP '2024-01-12 12:00:00')")
+def delete_stored_year(t):
+    """From a table with a folder per year, with the default grain."""
+    path = scratch_path(t.spark, "delete-year")
+    sink.append_bars(t.bars("hour"), path, grain="year")
+    sink.delete_stored(t.spark, path, "2024-01-08", "2024-01-12 12:00:00")
+    return sources.read_bars(t.spark, path).select(*FUTURES_FIELDS)
+
+
+@query(f"SELECT {BAR} FROM hour_bars UNION ALL SELECT {BAR} FROM bars b WHERE hour(time) <> 0")
+def insert_strict_stored(t):
+    """A first insert goes in; a second one with the same keys fails and adds nothing."""
+    path = scratch_path(t.spark, "strict")
+    sink.insert_all(t.bars("hour"), path)
+    try:
+        sink.insert_all(t.bars(), path)
+    except Exception as error:  # whatever Spark wraps it in
+        if "duplicate" not in str(error).lower():
+            raise
+    return sources.read_bars(t.spark, path).select(*FUTURES_FIELDS)
+
+
+@query(f"SELECT {BAR} FROM bars")
+def delete_all_then_insert(t):
+    """A table that was emptied takes rows again."""
+    path = scratch_path(t.spark, "emptied")
+    sink.append_bars(t.bars("hour"), path)
+    sink.delete_stored(t.spark, path, "1900-01-01", "2100-01-01")
+    sink.insert_new(t.bars().withColumn("_ord", F.col("volume")), path)
+    return sources.read_bars(t.spark, path).select(*FUTURES_FIELDS)
 
 
 @query("SELECT DISTINCT replace(upper(trim(p_brand)), '.', '-') AS value FROM part")

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.plans import backfill, build_universe, clean_equities, clean_futures, ingest
-from barloom.schemas import EQUITY_FIELDS, OHLC
+from barloom.plans import backfill, backfill_stored as into_storage, build_universe, clean_equities, clean_futures, ingest
+from barloom.schemas import EQUITY_FIELD_NAMES, EQUITY_FIELDS, OHLC
 from barloom.session import cut_lineage, scratch_path
 from barloom import sources
 from barloom.workload.missing import SMALL
@@ -106,19 +106,77 @@ def _contract_file(t, symbols, kind):
     return path
 
 
+def _landed_json(t):
+    """Equity rows as provider files with times as text, and their contract list."""
+    landing = scratch_path(t.spark, "landing")
+    rows = t.equities().withColumn("symbol", F.trim("symbol"))
+    contracts = _contract_file(t, rows.select("symbol").dropna().distinct(), "EQUITY")
+    provider = {stored: given for given, stored in EQUITY_FIELD_NAMES.items()}
+    rows.withColumnsRenamed(provider).coalesce(1).sortWithinPartitions("_ord").drop("_ord").write.option("ignoreNullFields", False).json(landing)
+    return sources.read_equity_json(t.spark, landing), contracts
+
+
+def _run(t, times=1, **options):
+    landed, contracts = _landed_json(t)
+    raw, table = scratch_path(t.spark, "raw"), scratch_path(t.spark, "bars")
+    for _ in range(times):
+        result = ingest(t.spark, contracts, landed, raw, table, "EQUITY", **{"start": "2024-01-01", "end": "2024-01-31", **options})
+    return result, raw, table
+
+
 @query(_equities(_COMPLETE))
 def ingest_equities(t):
-    """Two runs over the same landed rows; the table holds each bar once."""
-    # Landed symbols are requested as listed, so the list carries every spelling of the landing.
-    landed = t.equities()
-    contracts = _contract_file(t, landed.select(F.trim("symbol").alias("symbol")).dropna().distinct(), "EQUITY")
-    landed = cut_lineage(
-        landed.withColumns({"symbol": F.trim("symbol"), "time": F.col("time").try_cast("timestamp")}),
-        scratch_path(t.spark, "landing"),
-    )
+    """Two runs over the same landed files; the table holds each bar once."""
+    return sources.read_bars(t.spark, _run(t, 2)[2]).select(*EQUITY_FIELDS)
+
+
+@query("SELECT count(*) AS rows, count(*) FILTER (TRY_CAST(time AS TIMESTAMP) IS NULL) AS unreadable FROM equities WHERE symbol IS NOT NULL")
+def ingest_raw_rows(t):
+    """Rows without a readable time are kept as they came."""
+    raw = t.spark.read.parquet(_run(t)[1])
+    return raw.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("time").try_cast("timestamp").isNull()).alias("unreadable"))
+
+
+_STATUS = f"""WITH kept AS ({_equities(_COMPLETE)}),
+  n AS (SELECT upper(trim(symbol)) AS symbol, count(*) AS landed FROM equities WHERE symbol IS NOT NULL GROUP BY 1),
+  k AS (SELECT symbol, count(*) AS inserted FROM kept GROUP BY symbol)
+  SELECT n.symbol, landed, """
+
+
+@query(_STATUS + "coalesce(inserted, 0) AS inserted, 'ok' AS status FROM n LEFT JOIN k USING (symbol)")
+def ingest_status(t):
+    return _run(t)[0].status.select("symbol", "landed", "inserted", "status")
+
+
+@query(_STATUS + "0 AS inserted, 'ok' AS status FROM n LEFT JOIN k USING (symbol)")
+def ingest_status_repeated(t):
+    """The second run adds nothing and says so."""
+    return _run(t, 2)[0].status.select("symbol", "landed", F.col("inserted").cast("int").alias("inserted"), "status")
+
+
+@query(f"SELECT count(*) AS expected, count(*) AS actual, true AS passed FROM ({_equities(_COMPLETE)})")
+def ingest_validation(t):
+    return _run(t)[0].validation
+
+
+@query(_equities(_COMPLETE))
+def ingest_late_symbol(t):
+    """A symbol that comes in a later run is loaded from its own beginning."""
+    landed, contracts = _landed_json(t)
     raw, table = scratch_path(t.spark, "raw"), scratch_path(t.spark, "bars")
-    for _ in range(2):
-        ingest(t.spark, contracts, landed, raw, table, "EQUITY", start="2024-01-01", end="2024-01-31")
+    late = F.upper(F.trim("symbol")) == "CLICK"
+    for part in (landed.filter(~late), landed):
+        ingest(t.spark, contracts, part, raw, table, "EQUITY", seed="2024-01-01", today="2024-02-01")
+    return sources.read_bars(t.spark, table).select(*EQUITY_FIELDS)
+
+
+@query(_equities(_COMPLETE))
+def ingest_after_empty_run(t):
+    """A first run whose rows are all refused does not spoil the table."""
+    landed, contracts = _landed_json(t)
+    raw, table = scratch_path(t.spark, "raw"), scratch_path(t.spark, "bars")
+    for part in (landed.withColumn("volume", F.lit(None).cast("bigint")), landed):
+        ingest(t.spark, contracts, part, raw, table, "EQUITY", start="2024-01-01", end="2024-01-31")
     return sources.read_bars(t.spark, table).select(*EQUITY_FIELDS)
 
 
@@ -143,25 +201,67 @@ def ingest_futures(t):
 
 
 @query(
-    "SELECT symbol, time, close, volume FROM hour_bars WHERE symbol IN ('click', 'view', 'error')"
-    " AND time >= TIMESTAMP '2024-01-03' AND time < TIMESTAMP '2024-01-26'"
+    "SELECT symbol, time, close, volume FROM hour_bars WHERE time >= TIMESTAMP '2024-01-03' AND time < TIMESTAMP '2024-01-26'"
 )
 def backfill_rows(t):
     return _backfill(t)[0].select("symbol", "time", "close", "volume")
 
 
-@query(
-    """WITH chunks AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-24 23:00:00', INTERVAL 7 DAY)) AS chunk_start),
-    spans AS (SELECT chunk_start, least(chunk_start + INTERVAL 7 DAY, TIMESTAMP '2024-01-25') AS chunk_end FROM chunks)
-    SELECT symbol, chunk_start, chunk_end, count(*) AS rows FROM spans
-    JOIN hour_bars ON time >= chunk_start AND time < chunk_end + INTERVAL 1 DAY
-    WHERE symbol IN ('click', 'view', 'error') GROUP BY symbol, chunk_start, chunk_end"""
-)
+_CHUNKS = """WITH names AS (SELECT DISTINCT symbol FROM hour_bars),
+    chunks AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-03', {last}, INTERVAL {step})) AS chunk_start),
+    spans AS (SELECT symbol, chunk_start, least(chunk_start + INTERVAL {step}, {end}) AS chunk_end FROM chunks, names)
+    SELECT s.symbol, chunk_start, chunk_end, count(h.time) AS rows FROM spans s LEFT JOIN hour_bars h ON h.symbol = s.symbol
+      AND h.time >= chunk_start AND h.time {upto} GROUP BY s.symbol, chunk_start, chunk_end"""
+
+
+@query(_CHUNKS.format(last="TIMESTAMP '2024-01-24 23:00:00'", step="7 DAY", end="TIMESTAMP '2024-01-25'", upto="< chunk_end + INTERVAL 1 DAY"))
 def backfill_work(t):
     return _backfill(t)[1]
 
 
-def _backfill(t):
+@query(_CHUNKS.format(last="TIMESTAMP '2024-02-19 23:59:59'", step="5 HOUR", end="TIMESTAMP '2024-02-20'", upto="<= chunk_end"))
+def backfill_work_hourly(t):
+    """Chunks of five hours, some of them empty; a bar on a border counts on both sides."""
+    return _backfill(t, "2024-02-20", "hourly", 5)[1]
+
+
+@query(
+    "SELECT symbol, time, close, volume FROM hour_bars WHERE time >= TIMESTAMP '2024-01-03' AND time < TIMESTAMP '2024-01-26'"
+)
+def backfill_stored(t):
+    """Into storage, twice."""
+    raw, table = scratch_path(t.spark, "raw"), scratch_path(t.spark, "bars")
+    bars, wanted = _bars(t)
+    for _ in range(2):
+        into_storage(t.spark, bars, wanted, "2024-01-03", "2024-01-25", raw, table, lambda df: df, "daily", 7)
+    return sources.read_bars(t.spark, table).select("symbol", "time", "close", "volume")
+
+
+def _bars(t):
     bars = t.bars("hour").withColumn("_ord", F.col("volume"))
-    wanted = bars.select("symbol").distinct().filter(F.col("symbol").isin("click", "view", "error"))
-    return backfill(bars, wanted, "2024-01-03", "2024-01-25", "daily", 7)
+    return bars, bars.select("symbol").distinct()
+
+
+def _backfill(t, end="2024-01-25", unit="daily", n=7):
+    return backfill(*_bars(t), "2024-01-03", end, unit, n)
+
+
+_READ = """CASE WHEN _ord % 31 = 0 THEN '12f' WHEN _ord % 37 = 0 THEN '0x1p3' ELSE CAST(close AS VARCHAR) END"""
+
+
+@query(
+    f"""WITH src AS (SELECT *, {_READ} AS c, CASE WHEN symbol = 'view' AND _ord % 50 = 0 THEN 'not a time' ELSE 'fine' END AS t FROM dirty
+        WHERE time IS NOT NULL),
+    failed AS (SELECT DISTINCT trim(symbol) AS s FROM src WHERE t = 'not a time' OR c IN ('12f', '0x1p3'))
+    SELECT trim(symbol) AS symbol, count(*) AS rows, CASE WHEN trim(symbol) IN (SELECT s FROM failed) THEN 'failed' ELSE 'ok' END AS status
+    FROM src GROUP BY trim(symbol)"""
+)
+def clean_futures_isolated(t):
+    """Times and prices that cannot be read fail their own symbol."""
+    rows = t.dirty().filter("time IS NOT NULL").withColumns({
+        "symbol": F.trim("symbol"), "volume": F.coalesce("volume", F.lit(0)), "open": F.lit(1.0), "high": F.lit(1.0), "low": F.lit(1.0),
+        "close": F.when(F.col("_ord") % 31 == 0, "12f").when(F.col("_ord") % 37 == 0, "0x1p3").otherwise(F.col("close").cast("string")),
+        "time": F.when((F.col("symbol") == "view") & (F.col("_ord") % 50 == 0), "not a time").otherwise(F.col("time").cast("string")),
+    })
+    _, status = clean_futures(rows, [], isolate=True)
+    return status.select("symbol", "rows", "status")

@@ -148,7 +148,7 @@ def resolve_range(t):
     return _as_text(calendars.resolve_range(t.bars(), seed="2020-01-01", today="2024-03-10"))
 
 
-@query("SELECT '2024-01-15' AS start_date, '2024-01-15' AS end_date FROM (SELECT max(time) FROM bars)")
+@query("SELECT CAST(least(CAST(max(time) AS DATE) + 1, DATE '2024-01-15') AS VARCHAR) AS start_date, '2024-01-15' AS end_date FROM bars")
 def resolve_range_clamped(t):
     return _as_text(calendars.resolve_range(t.bars(), end="2024-01-15", today="2024-03-10"))
 
@@ -173,11 +173,10 @@ def _as_text(df):
 
 @query(
     "SELECT symbol, time FROM user_days u WHERE NOT EXISTS"
-    " (SELECT 1 FROM bars b WHERE b.time = u.time AND b.symbol = 'click' AND b.close > 20)"
+    " (SELECT 1 FROM bars b WHERE b.time = u.time AND b.symbol = u.symbol)"
 )
 def anti_times(t):
-    days = t.bars().filter((F.col("symbol") == "click") & (F.col("close") > 20))
-    return combine.anti_times(t.user_days(), days, ["time"])
+    return combine.anti_times(t.user_days(), t.bars())
 
 
 @query(
@@ -268,10 +267,10 @@ def difference(t):
 
 
 @query(
-    "SELECT DISTINCT s_name AS \"dataSymbol\" FROM supplier WHERE replace(s_name, 'Supplier', 'Customer') NOT IN"
-    " (SELECT c_name FROM customer WHERE c_acctbal > 0)"
+    "SELECT DISTINCT c_name AS \"dataSymbol\" FROM customer WHERE replace(c_name, 'Customer', 'Supplier') NOT IN"
+    " (SELECT s_name FROM supplier)"
 )
 def missing_baseline(t):
-    universe = t.read("customer").filter("c_acctbal > 0").selectExpr("replace(c_name, 'Customer', 'Supplier') AS dataSymbol")
-    baseline = t.read("supplier").selectExpr("s_name AS dataSymbol")
+    universe = t.read("supplier").selectExpr("replace(s_name, 'Supplier', 'Customer') AS dataSymbol")
+    baseline = t.read("customer").selectExpr("c_name AS dataSymbol")
     return combine.missing_baseline(universe, baseline)

@@ -199,7 +199,7 @@ def test_ingestion_continues_where_the_table_ends(spark, tmp_path):
     assert (str(first.start), str(first.end), first.landed, first.inserted) == ("2024-01-01", "2024-01-10", 10, 10)
     assert [r.dataSymbol for r in first.refused.collect()] == ["ES"]
     second = ingest(spark, contracts, landed, raw, table, "EQUITY", today="2024-01-16")
-    assert (str(second.start), str(second.end), second.inserted) == ("2024-01-11", "2024-01-15", 5)
+    assert (str(second.start), str(second.end), second.inserted) == ("2024-01-10", "2024-01-15", 5)
     again = ingest(spark, contracts, landed, raw, table, "EQUITY", today="2024-01-16")
     assert (str(again.start), again.inserted) == ("2024-01-15", 0)
     assert sources.read_bars(spark, table).count() == 15
