@@ -118,8 +118,8 @@ def asset_mismatch(kind: Column, asset: str) -> Column:
     """Why a row's asset type does not fit the configured one, or NULL if it does."""
     shown = F.coalesce(kind, F.lit("none"))
     return F.when(
-        ~kind.eqNullSafe(F.lit(asset)), F.concat(F.lit("asset type mismatch: "), shown, F.lit(f" != {asset}"))
-    ).when(~F.coalesce(kind.isin(*ASSET_TYPES), F.lit(False)), F.concat(F.lit("unsupported asset type: "), shown))
+        ~kind.eqNullSafe(F.lit(asset)), F.concat(F.lit("listed as "), shown, F.lit(f", loading {asset}"))
+    ).when(~F.coalesce(kind.isin(*ASSET_TYPES), F.lit(False)), F.concat(F.lit("no such asset type here: "), shown))
 
 
 def check_asset_type(df: DataFrame, asset: str, kind: str = "instrumentType") -> tuple[DataFrame, DataFrame]:

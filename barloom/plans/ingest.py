@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from barloom.functions.symbols import upper_symbol
 from barloom.functions.times import iso_utc, micros
+from barloom.operators.aggregates import duplicate_times
 from barloom.operators.calendars import fan_out, range_bounds, resolve_range_per_symbol
 from barloom.operators.combine import only_universe
 from barloom.operators.dedupe import dedupe_first
@@ -19,7 +20,9 @@ from barloom.operators.series import SEGMENT_ROWS
 from barloom.plans.clean import EQUITY_POLICIES, FUTURES_POLICIES, clean_equities, clean_futures, screen_equities
 from barloom.schemas import EQUITY_SCHEMA, FUTURES_SCHEMA, ORD, SYMBOL, TIME
 from barloom.session import cut_lineage, scratch_path, temporary_copies
-from barloom.sinks.tables import append_bars, insert_new, new_rows, status_findings, validate_row_count, write_findings, write_raw
+from barloom.sinks.tables import (
+    append_bars, duplicate_findings, insert_new, new_rows, status_findings, validate_row_count, write_findings, write_raw,
+)
 from barloom.sources.landing import load_contracts
 from barloom.sources.stored import read_bars
 
@@ -70,7 +73,7 @@ def ingest(
     symbol is loaded from the day after its own latest bar, unless ``start`` is given. Rows of the range, and rows
     whose time cannot be read, are stored as they came before cleaning. What was stored is what is cleaned.
     Running again over the same range adds nothing to ``table``. ``findings`` names a folder for
-    the status of each symbol.
+    the status of each symbol and the times that landed more than once.
     """
     with temporary_copies(spark) as keep:
         kept_status = scratch_path(spark, "status")
@@ -124,6 +127,7 @@ def ingest(
         status = cut_lineage(status, kept_status)
         if findings:
             write_findings(status_findings(status), findings)
+            write_findings(duplicate_findings(duplicate_times(batch, [SYMBOL])), findings)
     validation = validate_row_count(read_bars(spark, table, schema=spark_schema), before + inserted)
     return IngestResult(first, last, landed_rows, inserted, refused, status, validation)
 

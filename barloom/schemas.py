@@ -12,6 +12,7 @@ ORD = "_ord"
 OHLC = ["open", "high", "low", "close"]
 FUTURES_FIELDS = [TIME, SYMBOL, *OHLC, "volume"]
 
+# Stored columns of adjusted prices, of prices, of floating numbers and of equity bars.
 ADJUSTED = ["adj_open", "adj_high", "adj_low", "adjusted_close"]
 EQUITY_PRICES = [*OHLC, *ADJUSTED]
 EQUITY_FLOATS = [*EQUITY_PRICES, "adj_volume", "div_cash", "split_factor"]
@@ -59,7 +60,7 @@ EQUITY_SCHEMA = T.StructType(
     ]
 )
 
-#: Fields of the equity provider's JSON record. Read as text: one odd value must not fail the file.
+# Fields of the equity provider's JSON record. Read as text: one odd value must not fail the file.
 EQUITY_JSON_FIELDS = [
     "date", *OHLC, "volume", "adjOpen", "adjHigh", "adjLow", "adjClose", "adjVolume", "divCash", "splitFactor",
 ]

@@ -135,6 +135,14 @@ def missing_findings(missing: DataFrame) -> DataFrame:
     )
 
 
+def duplicate_findings(copies: DataFrame) -> DataFrame:
+    """Times that occur more than once in a series (``copies``) as findings of the same shape."""
+    return copies.select(
+        F.lit("duplicate_timestamp").alias("kind"), SYMBOL, F.col(TIME).try_cast("timestamp").alias("ts"),
+        F.concat(F.col("copies").cast("string"), F.lit(" rows")).alias("detail"),
+    )
+
+
 def status_findings(status: DataFrame) -> DataFrame:
     """Per-symbol insert status (``status``, ``inserted``, ``first_reason``) as findings of the same shape."""
     text = F.when(

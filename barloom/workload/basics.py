@@ -217,7 +217,7 @@ def asset_type_accepted(t):
 
 
 @query(
-    f"SELECT _ord, kind, concat('asset type mismatch: ', kind, ' != FUTURE') AS reason FROM {_TYPED} WHERE kind <> 'FUTURE'"
+    f"SELECT _ord, kind, concat('listed as ', kind, ', loading FUTURE') AS reason FROM {_TYPED} WHERE kind <> 'FUTURE'"
 )
 def asset_type_refused(t):
     listed = t.contracts().select("_ord", F.upper("instrumentType").alias("kind"))

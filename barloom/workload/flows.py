@@ -159,6 +159,19 @@ def ingest_validation(t):
     return _run(t)[0].validation
 
 
+@query(
+    """SELECT 'duplicate_timestamp' AS kind, count(*) AS findings, CAST(sum(n) AS BIGINT) AS rows FROM
+         (SELECT count(*) AS n FROM equities WHERE symbol IS NOT NULL GROUP BY trim(symbol), time HAVING count(*) > 1)
+       UNION ALL SELECT 'insert_status', count(DISTINCT upper(trim(symbol))), CAST(NULL AS BIGINT) FROM equities WHERE symbol IS NOT NULL"""
+)
+def ingest_findings(t):
+    """Status per symbol and times that landed more than once, as stored findings."""
+    path = scratch_path(t.spark, "findings")
+    _run(t, findings=path)
+    rows = F.when(F.col("kind") == "duplicate_timestamp", F.split_part("detail", F.lit(" "), F.lit(1)).cast("bigint"))
+    return t.spark.read.parquet(path).groupBy("kind").agg(F.count(F.lit(1)).alias("findings"), F.sum(rows).alias("rows"))
+
+
 @query(_equities(_COMPLETE))
 def ingest_late_symbol(t):
     """A symbol that comes in a later run is loaded from its own beginning."""

@@ -27,6 +27,7 @@ HEADLINE = [
     "staleness_and_gaps", "isolate_failures_good", "insert_ignore", "priority_union", "stable_bucket",
     "clean_futures_bars", "clean_equity_bars", "read_equity_json", "insert_ignore_stored", "delete_stored",
     "ingest_equities",
+    "fill_forward_split", "fill_interpolate_split", "fill_median_split", "back_adjust_split", "clean_equity_bars_forward_split",
 ]
 
 

@@ -123,7 +123,7 @@ def test_asset_types(spark):
     assert refused.count() == 3
     ok, refused = project.check_asset_type(df, "OPTION")
     assert ok.count() == 0
-    assert {r.dataSymbol: r.reason for r in refused.collect()}["X"] == "unsupported asset type: OPTION"
+    assert {r.dataSymbol: r.reason for r in refused.collect()}["X"] == "no such asset type here: OPTION"
 
 
 def test_canonical_symbols(spark):
