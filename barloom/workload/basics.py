@@ -114,8 +114,9 @@ def earliest_bar_per_symbol(t):
 def head_rows(t):
     """Which rows come is open: that there are so many, and that all are rows of the table."""
     head = ordering.head_rows(t.bars(), 10)
-    stored = head.intersectAll(t.bars()).agg(F.count(F.lit(1)).alias("stored"))
-    return head.agg(F.count(F.lit(1)).alias("rows")).join(stored, F.lit(True))
+    counted = lambda df, inside: df.select(F.lit(1 - inside).alias("r"), F.lit(inside).alias("s"))
+    both = counted(head, 0).unionByName(counted(head.intersectAll(t.bars()), 1))
+    return both.agg(F.sum("r").alias("rows"), F.sum("s").alias("stored"))
 
 
 @query("SELECT ts FROM events ORDER BY ts")

@@ -141,4 +141,6 @@ def isolate_failures_status(t):
     + _STATUS.replace("epoch_us(time) * 1000000 + _ord", "CAST(epoch_us(time) AS HUGEINT) * 10000000000 + _ord") + ")"
 )
 def status_report(t):
-    return status_findings(quality.isolate_failures(t.user_bars())[1])
+    """Findings of a first insert, whose rows are all new; `ingest_status_repeated` has the other case."""
+    status = quality.isolate_failures(t.user_bars())[1]
+    return status_findings(status.withColumn("inserted", F.col("rows")))
