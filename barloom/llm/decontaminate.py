@@ -35,10 +35,10 @@ GAP = np.uint32(0x7FFFFFFF)  # no character
 
 @dataclass(frozen=True)
 class Budget:
-    """Windows of ``window`` characters every ``step``, up to ``rate`` edits a character, q-grams of ``q``, bands of ``band`` diagonals."""
+    """Windows of ``window`` characters every ``step`` (so a passage of both together holds a whole window), up to ``rate`` edits a character, q-grams of ``q``, bands of ``band`` diagonals."""
 
-    window: int = 100
-    step: int = 50
+    window: int = 80
+    step: int = 20
     rate: float = 0.07
     q: int = 10
     band: int = 16
