@@ -5,7 +5,7 @@ bytes of the two alone gives the two back. So encoding is a path through a trans
 next one". Read as it stands that transducer is non-deterministic; `MergeTransducer` determinises it lazily: a state is the set
 of live hypotheses. Every prefix of a text has one encoding, so one token at most can end at each byte. No hypothesis outlives the
 longest token, which bounds the lookahead: tokens are put out once all live hypotheses agree on them. States and transitions are
-made when text first needs them and forgotten when there are too many of them.
+made when text first needs them, up to a fixed number; a pre-token that leads beyond those is finished by searching the transducer itself.
 
 Decoding. `Utf8Decoder` is the UTF-8 automaton, run over whole tokens: the transition of (state, token) is worked out byte by byte
 once and remembered. Its input may be cut anywhere between tokens.
@@ -23,11 +23,11 @@ import gc
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -53,17 +53,23 @@ class MergeTransducer:
     #: Bytes of one pre-token after which the tokens that are certain are put out.
     FLUSH = 4096
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 400_000, max_words: int = 600_000) -> None:
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 50_000, max_words: int = 400_000) -> None:
         self.ranks, self.max_states, self.max_words = ranks, max_states, max_words
         self.size = {rank: len(token) for token, rank in ranks.items()}
-        self.prefixes = {token[:n] for token in ranks for n in range(1, len(token) + 1)}
         self._compile()
-        self.words: dict[str, list[int]] = _Memo(self)
-        self._reset()
+        #: Prefixes of tokens: the token that is the whole prefix, if it can come out of merging, else -1.
+        self.trie = {token[:n]: -1 for token in ranks for n in range(1, len(token) + 1)}
+        self.trie |= {token: rank for token, rank in ranks.items() if rank in self.left_edge}
+        self.words: dict[str, bytes] = _Memo(self)
+        self.fits: dict[int, bool] = {}
+        self.states: dict[tuple, int] = {}
+        self.open: list[tuple] = []
+        self.steps: dict[int, tuple[int, int]] = {}
+        self._state(((-1, b""),))
 
     def _compile(self) -> None:
         """Which pairs merge, and for each token what stands at its two edges while its own bytes are being merged."""
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.pairs: dict[int, int] = {}
         self.left_edge: dict[int, list[tuple[int, float]]] = {}
         self.right_edge: dict[int, list[tuple[int, float]]] = {}
         ranks, never = self.ranks, float("inf")
@@ -71,7 +77,7 @@ class MergeTransducer:
             for n in range(1, len(token)):
                 left, right = ranks.get(token[:n]), ranks.get(token[n:])
                 if left is not None and right is not None:
-                    self.pairs[left, right] = rank
+                    self.pairs[left << 32 | right] = rank
             if len(token) == 1:
                 self.left_edge[rank] = self.right_edge[rank] = [(rank, never)]
                 continue
@@ -93,7 +99,7 @@ class MergeTransducer:
         ours, theirs, i, j = self.right_edge[left], self.left_edge[right], 0, 0
         while True:
             (x, until_x), (y, until_y) = ours[i], theirs[j]
-            crossing = self.pairs.get((x, y))
+            crossing = self.pairs.get(x << 32 | y)
             if crossing is not None and crossing < until_x and crossing <= until_y and crossing < before:
                 return False
             if until_x <= until_y:
@@ -103,13 +109,6 @@ class MergeTransducer:
             else:
                 j += 1
 
-    def _reset(self) -> None:
-        self.fits: dict[int, bool] = {}
-        self.states: dict[tuple, int] = {}
-        self.open: list[tuple] = []
-        self.steps: dict[int, tuple[int, int]] = {}
-        self._state(((-1, b""),))
-
     def _state(self, live: tuple) -> int:
         """Number of the state that stands for a set of (last whole token, bytes of the next one so far), longest first."""
         number = self.states.get(live)
@@ -118,48 +117,80 @@ class MergeTransducer:
             self.open.append(live)
         return number
 
+    def _fits(self, last: int, token: int) -> bool:
+        """Whether a token may follow another one (-1: the beginning)."""
+        if last < 0:
+            return True
+        pair = last << 32 | token
+        fit = self.fits.get(pair)
+        if fit is None:
+            if len(self.fits) >= self.max_states * 8:
+                self.fits.clear()
+            fit = self.fits[pair] = self._stable(last, token)
+        return fit
+
     def _step(self, state: int, byte: bytes) -> tuple[int, int]:
         """The state after one more byte, and the one token that can end there."""
         live, ended = [], -1
-        ranks, prefixes, fits = self.ranks, self.prefixes, self.fits
         for last, part in self.open[state]:
             part += byte
-            if part not in prefixes:
+            token = self.trie.get(part)
+            if token is None:
                 continue
             live.append((last, part))
-            token = ranks.get(part, -1)
-            if token >= 0 and ended < 0 and token in self.left_edge:
-                pair = last << 32 | token
-                fit = last < 0 or fits.get(pair)
-                if fit is None:
-                    fit = fits[pair] = self._stable(last, token)
-                if fit:
-                    ended = token
+            if token >= 0 and ended < 0 and self._fits(last, token):
+                ended = token
         live.append((ended, b""))
         return self._state(tuple(live)), ended
 
+    def _search(self, piece: bytes, at: int, last: int) -> list[int]:
+        """The path from ``at`` to the end, longest tokens first. A place is left for good once nothing leads on from it."""
+        trie, fits, size, dead = self.trie, self.fits, self.size, set()
+        path: list[tuple[int, int, list[int]]] = []
+        begin, end = at, len(piece)
+        while True:
+            choices = []
+            for stop in range(at + 1, end + 1):
+                token = trie.get(piece[at:stop])
+                if token is None:
+                    break
+                if token >= 0:
+                    choices.append(token)
+            while True:
+                if choices:
+                    token = choices.pop()
+                    to = at + size[token]
+                    if to not in dead and (fits.get(last << 32 | token) or self._fits(last, token)):
+                        break
+                elif at == begin:
+                    raise ValueError("the vocabulary does not cover all bytes")
+                else:
+                    dead.add(at)
+                    at, last, choices = path.pop()
+            path.append((at, last, choices))
+            if to == end:
+                return [*(token for _, token, _ in path[1:]), token]
+            at, last = to, token
+
     def encode(self, piece: bytes) -> list[int]:
         """Token ids of one pre-token."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.open) > self.max_states:
-            self._reset()
         out: list[int] = []
         ends: list[int] = []  # ends[i]: the token that ends after byte i of what is not put out yet
         state, steps = 0, self.steps
-        for byte in piece:
+        for at, byte in enumerate(piece):
             step = steps.get(state << 8 | byte)
             if step is None:
-                if len(self.open) > 2 * self.max_states:  # within one very long pre-token
-                    here = self.open[state]
-                    self._reset()
-                    state, steps = self._state(here), self.steps
+                if len(self.open) >= self.max_states:
+                    done = at - len(ends)
+                    return out + self._search(piece, done, out[-1] if out else -1)
                 step = steps[state << 8 | byte] = self._step(state, bytes((byte,)))
             state = step[0]
             ends.append(step[1])
             if len(ends) >= self.FLUSH:
-                out += self._certain(ends, self.open[state])
+                out += self._certain(ends, [len(part) for _, part in self.open[state]])
         return out + self._back(ends, len(ends))
 
     def _back(self, ends: list[int], at: int) -> list[int]:
@@ -169,9 +200,9 @@ class MergeTransducer:
             at -= self.size[found[-1]]
         return found[::-1]
 
-    def _certain(self, ends: list[int], live: tuple) -> list[int]:
+    def _certain(self, ends: list[int], open_bytes: list[int]) -> list[int]:
         """Take off ``ends`` the tokens on which all live hypotheses agree."""
-        paths = [self._back(ends, len(ends) - len(part)) for _, part in live]
+        paths = [self._back(ends, len(ends) - n) for n in open_bytes]
         agreed = 0
         while agreed < min(map(len, paths)) and len({path[agreed] for path in paths}) == 1:
             agreed += 1
@@ -180,16 +211,22 @@ class MergeTransducer:
 
 
 class _Memo(dict):
-    """Ids of pre-tokens met before; emptied when full."""
+    """Ids (as packed integers) of pre-tokens met before, in two generations: what is not asked for again while a
+    generation fills is forgotten.
+    """
 
     def __init__(self, machine: MergeTransducer) -> None:
         super().__init__()
         self.machine = machine
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, word: str) -> list[int]:
-        ids = self.machine.encode(word.encode())
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = array("i", self.machine.encode(word.encode())).tobytes()
         if len(word) <= 64:
             if len(self) >= self.machine.max_words:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -225,6 +262,7 @@ class Utf8Decoder:
             (state, pending), text = self._step((self.START, b""), token)
             if state == self.START and not pending and "�" not in text:
                 self.whole[token] = text
+        self.whole_array = pa.array(self.whole, pa.string())
 
     def _step(self, at: tuple, token: int) -> tuple[tuple, str]:
         state, pending = at
@@ -246,16 +284,21 @@ class Utf8Decoder:
 
     def stream(self, chunks: Iterable[Iterable[int]]) -> Iterator[str]:
         """Text of each chunk of ids as far as its characters are finished, and at last what was left unfinished."""
-        at: tuple = (self.START, b"")
+        clean: tuple = (self.START, b"")
+        at, whole = clean, self.whole
         for chunk in chunks:
             out = []
             for token in chunk:
+                text = whole[token] if at is clean and token >= 0 else None
+                if text is not None:
+                    out.append(text)
+                    continue
                 step = self.steps.get((at, token))
                 if step is None:
                     if len(self.steps) >= self.max_steps:
                         self.steps.clear()
                     step = self.steps[at, token] = self._step(at, token)
-                at = step[0]
+                at = clean if step[0] == clean else step[0]
                 out.append(step[1])
             yield "".join(out)
         if at[1]:
@@ -271,6 +314,26 @@ class Utf8Decoder:
             return "".join(self.stream((ids,)))
 
 
+    def decode_all(self, lists: pa.ListArray) -> list[str]:
+        """Texts of many sequences (null: empty). Those of whole tokens alone are put together at once; the others are streamed."""
+        lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())).astype(np.int32)), lists.flatten())
+        values, bounds = lists.values, lists.offsets.to_numpy()
+        if values.null_count:
+            raise ValueError("a token id is null")
+        pieces = self.whole_array.take(values)  # raises for an id that the vocabulary lacks
+        spread = np.append(0, np.cumsum(pieces.is_null().to_numpy(zero_copy_only=False)))[bounds]
+        joined = pieces.cast(pa.large_binary())
+        ends = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
+        data = memoryview(joined.buffers()[2] or b"")
+        out = []
+        for i in range(len(bounds) - 1):
+            if spread[i + 1] > spread[i]:
+                out.append("".join(self.stream((values[bounds[i] : bounds[i + 1]].to_pylist(),))))
+            else:
+                out.append(str(data[ends[bounds[i]] : ends[bounds[i + 1]]], "utf-8"))
+        return out
+
+
 def white_space(pattern: str) -> str:
     """White space by its Unicode property, as in the pattern's own dialect; the module's own class has more characters."""
     return pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
@@ -304,28 +367,47 @@ def encode(
     schema = _added(docs, out, T.ArrayType(T.IntegerType(), False), drop)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = machine(ranks_path).words
-        split = regex.compile(white_space(pattern))
-        split_ascii = re.compile(ASCII_PATTERN, re.ASCII)
-        values, offsets = array("i"), [0]
-        for value in strings(batch.column(batch.schema.get_field_index(text))):
-            found = (split_ascii if value.isascii() else split).findall(value)
-            values.extend(chain.from_iterable([words[word] for word in found]))
-            offsets.append(len(values))
-        ids = pa.ListArray.from_arrays(pa.array(np.array(offsets, np.int32)), pa.array(np.frombuffer(values, np.int32)))
+        coded = _encode_texts(strings(batch.column(batch.schema.get_field_index(text))), ranks_path, pattern)
         kept = [n for n in batch.schema.names if n not in drop]
-        return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), ids], names=[*kept, out])
+        return pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), coded], names=[*kept, out])
 
     return map_batches(docs, run, schema)
 
 
+def _encode_texts(texts: list[str], ranks_path: str, pattern: str) -> pa.ListArray:
+    ids_of = machine(ranks_path).words.__getitem__
+    split, split_ascii = regex.compile(white_space(pattern)), re.compile(ASCII_PATTERN, re.ASCII)
+    parts, sizes = [], [0]
+    for value in texts:
+        found = (split_ascii if value.isascii() else split).findall(value)
+        parts.append(b"".join(map(ids_of, found)))
+        sizes.append(len(parts[-1]) // 4)
+    values = np.frombuffer(b"".join(parts), np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(sizes, dtype=np.int32)), pa.array(values))
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns in ``keep``, ``ids`` and ``decoded``: encoding and decoding in one pass, a few documents at a time."""
+    schema = _added(docs.select(*keep), "ids", T.ArrayType(T.IntegerType(), False)).add("decoded", T.StringType())
+    names, slice_rows = schema.names, 500
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        back = decoder(ranks_path)
+        for part in (batch.slice(i, slice_rows) for i in range(0, batch.num_rows, slice_rows)):
+            coded = _encode_texts(strings(part.column(len(keep))), ranks_path, pattern)
+            decoded = pa.array(back.decode_all(coded), pa.string())
+            yield pa.RecordBatch.from_arrays([*part.columns[: len(keep)], coded, decoded], names=names)
+
+    return map_batches(docs.select(*keep, text), run, schema)
+
+
 def decode(encoded: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add the text that the ids stand for."""
     schema = _added(encoded, out, T.StringType())
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         machine_ = decoder(ranks_path)
-        texts = [machine_.decode(x or []) for x in batch.column(batch.schema.get_field_index(ids)).to_pylist()]
+        texts = machine_.decode_all(batch.column(batch.schema.get_field_index(ids)))
         return pa.RecordBatch.from_arrays(
             [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, out]
         )
