@@ -34,7 +34,9 @@ from pyspark.sql import types as T
 
 from barloom.llm.common import map_batches, strings
 
-#: For text without characters above 127 the pre-tokenising pattern means this, which the standard module matches faster.
+#: Fixed value: a usual pre-tokenising pattern. In text without characters above 127 it means the second one, which the standard
+#: module matches faster.
+USUAL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 ASCII_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 
 _MACHINES: dict[str, MergeTransducer] = {}
@@ -376,7 +378,8 @@ def encode(
 
 def _encode_texts(texts: list[str], ranks_path: str, pattern: str) -> pa.ListArray:
     ids_of = machine(ranks_path).words.__getitem__
-    split, split_ascii = regex.compile(white_space(pattern)), re.compile(ASCII_PATTERN, re.ASCII)
+    split = regex.compile(white_space(pattern))
+    split_ascii = re.compile(ASCII_PATTERN, re.ASCII) if pattern == USUAL_PATTERN else split
     parts, sizes = [], [0]
     for value in texts:
         found = (split_ascii if value.isascii() else split).findall(value)

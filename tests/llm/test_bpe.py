@@ -49,6 +49,13 @@ def test_streaming_decode_between_any_tokens(rng, encoding):
         assert decoder.decode(odd) == data.decode("utf-8", "replace")
 
 
+def test_another_pattern(spark):
+    assert bpe.USUAL_PATTERN == PATTERN
+    df = spark.createDataFrame([(1, "ab cd")], "doc_id long, text string")
+    own = tiktoken.Encoding("own", pat_str=r"\S|\s", mergeable_ranks=bpe.read_ranks(PATH), special_tokens={})
+    assert bpe.encode(df, PATH, r"\S|\s").first().ids == own.encode_ordinary("ab cd")
+
+
 def test_bad_ids_clashing_names_and_empty_tables(spark):
     df = spark.createDataFrame([(1, [99_999])], "doc_id long, ids array<int>")
     with pytest.raises(Exception):
