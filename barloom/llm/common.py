@@ -12,6 +12,9 @@ from barloom.session import cut_lineage, scratch_path
 
 __all__ = ["ascii_lower", "cut_lineage", "map_batches", "scratch_path", "strings", "table"]
 
+#: Rows whose Python values are in memory at once.
+SLICE = 1000
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -32,11 +35,11 @@ def strings(column: pa.Array) -> list[str]:
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch], schema: str
 ) -> DataFrame:
-    """Apply a function of one Arrow batch to every batch; the batches of a task never meet in memory."""
+    """Apply a function of one Arrow batch to every batch, ``SLICE`` rows at a time; they never meet in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
+        for whole in batches:
+            for batch in (whole.slice(i, SLICE) for i in range(0, whole.num_rows, SLICE)):
                 out = function(batch)
                 if isinstance(out, pa.RecordBatch):
                     yield out

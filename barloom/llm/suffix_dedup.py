@@ -169,13 +169,6 @@ def repeated_suffixes(data: np.ndarray, starts: np.ndarray, length: int) -> np.n
     return marked
 
 
-def _intervals(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of neighbouring windows as covered bytes: begin and end."""
-    first = np.flatnonzero(np.append(True, starts[1:] != starts[:-1] + 1))
-    last = np.append(first[1:], len(starts)) - 1
-    return starts[first], starts[last] + length
-
-
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     body = F.coalesce(F.col(text), F.lit(""))
     return docs.select(F.struct(F.col(doc_id).alias("doc_id"), F.xxhash64(body).alias("row")).alias("key"), body.alias("text"))
@@ -304,7 +297,7 @@ def _window_rows(large: DataFrame, length: int) -> DataFrame:
 
 
 def removed_bytes(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 128, bucket: int = 4096, block: int = 4 << 20
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 400, gram: int = 128, bucket: int = 4096, block: int = 1 << 20
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, spans (array of begin, end: maximal removed runs), kept (bytes left)."""
     if not 32 <= gram <= length or length < 40:
@@ -324,11 +317,14 @@ def removed_bytes(
     found = pieces.where(F.col("different") <= bucket).repartition("anchor").sortWithinPartitions("anchor")
     span = T.StructType([T.StructField("key", rows.schema["key"].dataType), T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())])
     found = found.mapInArrow(_sort_blocks(length, block), span)
-    windows = _window_rows(pieces.where(F.col("different") > bucket), length)
-    often = windows.groupBy("high", "low").agg(F.count(F.lit(1)).alias("places")).where("places > 1")
-    frequent = windows.where("n = 1").join(often, ["high", "low"]).select("key", F.col("start").alias("begin"), (F.col("start") + length).alias("end"))
-
-    spans = covered.unionByName(found).unionByName(frequent).groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
+    found = covered.unionByName(found)
+    if not shared.where(F.col("different") > bucket).isEmpty():
+        windows = _window_rows(pieces.where(F.col("different") > bucket), length)
+        often = windows.groupBy("high", "low").agg(F.count(F.lit(1)).alias("places")).where("places > 1")
+        frequent = windows.where("n = 1").join(often, ["high", "low"])
+        found = found.unionByName(frequent.select("key", F.col("start").alias("begin"), (F.col("start") + length).alias("end")))
+
+    spans = found.groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     joined = keyed.join(spans, "key", "left").select("key.doc_id", "text", "spans")
     schema = T.StructType(
         [
