@@ -85,8 +85,8 @@ def exact_groups(
     # Hits: every row of a digest that came more than once, against the content at the locator.
     content = rows.join(held.where("n > 1"), F.col("at") == F.col("keep")).select("keep", held["digest"], F.col("norm").alias("content"))
     content = cut_lineage(content)
-    differing = rows.join(content, "digest").where(F.col("norm") != F.col("content")).select("digest").distinct()
-    collided = cut_lineage(differing)
+    # No step behind this join needs a digest's rows together, so Spark may split a hot one.
+    collided = cut_lineage(rows.join(content, "digest").where(F.col("norm") != F.col("content")).select("digest"))
 
     plain = rows.select("at", "digest", F.sha2("norm", 256).alias("text_sha256"))
     grouped = plain.join(held, "digest")
