@@ -1,14 +1,14 @@
 """From raw documents to token ids: each stage calls one operator and works on all that the stage before kept.
 
 The classifier drops documents of low quality; repeated long lines go; of near-duplicates (five-word shingles, Jaccard similarity 0.8 or
-more, directly or over a chain) one document stays (the smallest identifier); documents that hold benchmark passages go; what is left is encoded, and decoded again. Every stage but the last returns the columns of
+more, directly or over a chain) one row stays: the smallest identifier, nulls last, then by hash of the text and of the row; documents that hold benchmark passages go; what is left is encoded, and decoded again. Every stage but the last returns the columns of
 its input; a changed text brings its ``n_chars`` along. Null and repeated identifiers, null texts and empty tables are treated as the operators
-say; of repeated rows one stays.
+say; of repeated rows one stays. Rows are judged by their texts, so different texts stay, whatever identifiers they share or lack.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.llm import bpe, decontaminate, line_dedup, line_quality, simhash
@@ -31,13 +31,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One row of each group of near-duplicates."""
     roots = simhash.similar_texts(docs).select(F.col("node").alias("_text"), "root")
-    found = docs.select("doc_id", simhash.text_key("text").alias("_text")).join(roots, "_text", "left").withColumn("root", F.coalesce("root", "_text"))
-    least = found.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    found = found.join(least, "root")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates(["doc_id"])
+    grouped = docs.withColumn("_text", simhash.text_key("text")).join(roots.withColumnRenamed("root", "_root"), "_text", "left")
+    first = Window.partitionBy(F.coalesce("_root", "_text")).orderBy(F.col("doc_id").asc_nulls_last(), "_text", F.xxhash64(*docs.columns))
+    return grouped.withColumn("_place", F.row_number().over(first)).where("_place = 1").select(docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

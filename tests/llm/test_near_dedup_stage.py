@@ -1,4 +1,4 @@
-"""The near-duplicate stage against brute-force Jaccard similarity of five-word shingles."""
+"""The near-duplicate stage against brute-force Jaccard similarity of five-word shingles, and what it does with identifiers."""
 
 from itertools import combinations
 
@@ -59,3 +59,14 @@ def test_large_groups_meet_in_chunks(spark, rng):
     keys = [r[0] for r in df.select(simhash.text_key("text")).collect()]
     group = plain(texts)
     assert all((roots.get(a, a) == roots.get(b, b)) == (g == h) for (a, g), (b, h) in combinations(zip(keys, group), 2))
+
+
+def test_rows_are_judged_by_text_not_by_identifier(spark, rng):
+    texts = families(rng, 12, 0)
+    rows = [(None, t, "s") for t in texts[:4]] + [(7, t, "s") for t in texts[4:8]] + [(i, t, "s") for i, t in zip((20, 21), texts[8:10])]
+    rows += [(None, texts[0], "s"), (5, texts[1], "s"), (7, texts[8], "s"), (7, texts[4], "s"), (7, texts[4], "t"), (None, None, "s"), (None, "", "s")]
+    got = kept(spark, rows)
+    assert len(got) == 11 and {r.text or "" for r in got} == {*texts[:10], ""}
+    ids = {r.text: r.doc_id for r in got}
+    assert ids[texts[0]] is None and ids[texts[1]] == 5 and ids[texts[8]] == 7 and ids[texts[9]] == 21
+    assert sorted(map(str, got)) == sorted(map(str, kept(spark, rows[::-1])))
