@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 from barloom.llm.common import cut_lineage, strings
 
 MARKUP = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|$)|<[A-Za-z][^<>]*$", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: One attribute after another: any name, and its value, quoted or not.
+ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe xmp".split())
 BLOCK = frozenset(
@@ -71,7 +72,11 @@ class Page:
 
 
 def _attributes(source: str) -> dict[str, str]:
-    return {name.lower(): value.strip("\"'") for name, value in ATTRIBUTE.findall(source)} if source.strip() else {}
+    """Values by lower-case name; of a repeated name the first counts."""
+    found: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(source):
+        found.setdefault(name.lower(), value[1:-1] if value[:1] in ("'", '"') and value[:1] == value[-1:] else value)
+    return found
 
 
 def _outside(tag: str, attributes: dict[str, str], in_main: bool) -> bool:

@@ -54,3 +54,23 @@ def test_copies_of_one_page_keep_their_text(spark):
     rows = [(i, f"http://a.org/{i}", "<p>The same on all pages.</p>") for i in range(5)]
     assert {r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()} == {"The same on all pages."}
     assert extract(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "tag, attributes",
+    [
+        ("a", 'href="/the-hidden-valley"'),
+        ("a", "href=/go?hidden title='hidden gems'"),
+        ("div", 'data-role="banner" data-class="ad" data-id=menu'),
+        ("div", "data-hidden xaria-hidden=true data-style='display:none'"),
+        ("div", "class='post' class='ad' onclick=\"x('class=ad role=banner')\""),
+    ],
+)
+def test_attributes_count_by_their_exact_names(tag, attributes):
+    assert plain(f"<article><p>a <{tag} {attributes}>b</{tag}></article>").split() == ["a", "b"]
+    assert plain(f"<body {attributes}><article>b</article>") == "b"
+
+
+@pytest.mark.parametrize("attributes", ["HIDDEN", "hidden=''", 'title="x"hidden', "aria-hidden = 'true'", "role=banner", 'style="color:red;display: none"', "class=\n'x ad'"])
+def test_attributes_that_put_a_part_outside(attributes):
+    assert plain(f"<article><p>a</p><div {attributes}>b</div></article>") == "a"
