@@ -1,12 +1,13 @@
 """Personal data: patterns propose spans, checksums confirm them, words nearby adjust the score.
 
 Four base kinds (email, ip, card, phone) are fixed by pattern and validator alone: their context only moves the score, never the
-decision. Further kinds need more evidence. An IBAN must pass the mod-97 check; a US social security number has no checksum, so
+decision. Further kinds need more evidence. An IBAN has the length of its country (of unknown countries: the longest end at a border
+that passes) and must pass the mod-97 check; a US social security number has no checksum, so
 it needs a word nearby that names it and a score of at least ``threshold``.
 
 Defined results. A null text counts as empty and has no spans. Offsets are code points, the end exclusive. Matches of one kind are
 leftmost and do not overlap; different kinds may. A match that its validator refuses is dropped and the search goes on behind
-it. Spans are ordered by start, then by kind in the order of `KINDS`. Every step is linear in the length of the text, whatever
+it (an IBAN: behind its check digits). Spans are ordered by start, then by kind in the order of `KINDS`. Every step is linear in the length of the text, whatever
 it holds. Repeated rows give repeated results, an empty table gives an empty table. Extra columns are carried along
 unless they have the name of an output column: that raises an error.
 """
@@ -40,7 +41,17 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+IBAN_SIZE = {
+    country: size
+    for size, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR",
+        27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+ALPHANUMERIC = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 #: Base score of a confirmed span, and the words that raise or lower it when they stand near.
@@ -92,6 +103,28 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", floor)
 
 
+def iban_end(text: str, start: int) -> int | None:
+    """End of the IBAN whose country and check digits are at ``start``; looks at no more than 34 characters and the spaces between."""
+    country, end, ends = text[start : start + 2], start + 4, []
+    for size in range(5, 35):
+        at = end + (text[end : end + 1] == " ")
+        if text[at : at + 1] not in ALPHANUMERIC or text[at].islower():
+            break
+        end = at + 1
+        if size >= 15 and size == IBAN_SIZE.get(country, size) and text[end : end + 1] not in ALPHANUMERIC:
+            ends.append(end)
+    return next((e for e in reversed(ends) if mod97(text[start:e])), None)
+
+
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    found = IBAN.search(text)
+    while found:
+        end = iban_end(text, found.start())
+        if end:
+            yield found.start(), end
+        found = IBAN.search(text, end or found.end())
+
+
 def proposals(text: str) -> Iterator[tuple[str, int, int]]:
     """Confirmed spans of every kind, unordered."""
     for start, end in emails(text):
@@ -107,9 +140,8 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
         for found in PHONE.finditer(text):
             if 9 <= len(digits_of(found.group())) <= 15:
                 yield "phone", *found.span()
-    for found in IBAN.finditer(text):
-        if mod97(found.group()):
-            yield "iban", *found.span()
+    for start, end in ibans(text):
+        yield "iban", start, end
     for found in SSN.finditer(text):
         area, group, serial = found.group().split("-")
         if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":

@@ -66,3 +66,23 @@ def test_mask(spark):
     df = spark.createDataFrame([(1, "é a@b.co and 1.2.3.4!"), (2, "nothing")], "doc_id long, text string")
     found = pii.find_spans(df).select("doc_id", pii.mask(F.col("text"), F.col("spans")).alias("m")).orderBy("doc_id").collect()
     assert [r.m for r in found] == ["é [email] and [ip]!", "nothing"]
+
+
+@pytest.mark.parametrize(
+    "before, iban, after",
+    [
+        ("IBAN ", "DE89 3704 0044 0532 0130 00", " BIC COBADEFF"),
+        ("to ", "GB82WEST12345698765432", " I paid"),
+        ("to ", "GB82 WEST 1234 5698 7654 32", " 2024 AND MORE CAPITAL WORDS"),
+        ("REF AB12 ", "DE89370400440532013000", " 17"),
+        ("", "NO9386011117947", " 5 NOK"),
+        ("unknown country ", "ZZ22 3704 0044 0532 0130 00", " BIC"),
+    ],
+)
+def test_iban_before_capitals_and_digits(before, iban, after):
+    text = f"{before}{iban}{after}"
+    assert [s[:3] for s in pii.find(text) if s[0] == "iban"] == [("iban", len(before), len(before) + len(iban))]
+
+
+def test_no_iban_of_another_length():
+    assert not [s for s in pii.find("IBAN DE89 3704 0044 0532 0130 00X and DE89 3704 0044 0532 0130") if s[0] == "iban"]
