@@ -1,12 +1,13 @@
 """Main text of web pages by deducing the template that pages of one host share.
 
-A page is read as tokens: its tags, each with the path of tags (and classes) above it, and the texts outside the article. The
+A page is read as tokens: its tags, each with the path of tags (and classes) above it, and its texts, those of the article too. The
 occurrence vector of a token counts it on every page of its host; two random linear hashes of the vector stand for it, which are
 sums over pages and so are added up before and after the shuffle, however many pages a host has. Tokens of one host with the same
 vector are an equivalence class. A class is valid if it covers most pages of its host; it nests where the paths of its tags say.
 Texts that are in the class of a tag belong to the template, the places that vary are its slots. The main slot is the deepest template tag that holds
-most of the host's text. What is left of a page: its ``<article>`` or ``<main>``, or else the main slot without template texts; always
-without the parts whose tag, role or class says they are something else.
+most of the host's text. What is left of a page is its main slot without template texts. Tag, role and class words are further evidence: parts
+they call something else are left out before, and where a page has ``<article>`` or ``<main>`` elements, the slot is widened to the innermost of
+them around it (a heading beside the body stays), or else what is in them is kept of the slot.
 
 Defined results. A null html is an empty page: empty text. A null url is a host of its own. Broken markup is read as far as it goes: open
 tags end with the page, unknown end tags are skipped, a cut tag is dropped. Character references are decoded (in the text only), white space inside a block
@@ -28,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import cut_lineage, strings
+from barloom.llm.common import SLICE, cut_lineage, strings
 
 MARKUP = re.compile(r"<!--.*?(?:-->|$)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|$)|<[A-Za-z][^<>]*$", re.S)
 #: One attribute after another: any name, and its value, quoted or not.
@@ -169,10 +170,16 @@ def main_text(source: str, slot: str | None, fixed: frozenset[int]) -> str:
     """Text of a page, given its host's main slot and template texts."""
     inside = [node for node in read_page(source).nodes if not node.outside]
     article = [node for node in inside if node.main]
-    if article:
-        return _blocks(article)
     if slot:
-        inside = [node for node in inside if node.path == slot or node.path.startswith(f"{slot}/")] or inside
+        frame = slot
+        if article:
+            parts = slot.split("/")
+            depth = max((i for i, part in enumerate(parts) if re.split(r"[.#]", part)[0] in MAIN), default=len(parts) - 1)
+            frame = "/".join(parts[: depth + 1])
+        below = [node for node in article or inside if node.path == frame or node.path.startswith(f"{frame}/")]
+        inside = below or article or inside
+    else:
+        inside = article or inside
     own = [node for node in inside if digest(node.path, node.text) not in fixed] if fixed else inside
     return _blocks(own or inside)
 
@@ -181,8 +188,8 @@ TOKENS = "host string, kind int, token string, digest long, pages long, total lo
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch, host and token: pages, occurrences, both hashes of the occurrence vector, characters of free text below."""
-    for batch in batches:
+    """Per batch, host and token: pages, occurrences, both hashes of the occurrence vector, characters of text below."""
+    for batch in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
         sums: dict[tuple, list[int]] = {}
         for host, source, number in zip(strings(batch.column(0)), strings(batch.column(1)), batch.column(2).to_pylist()):
             page = read_page(source)
@@ -190,7 +197,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for path in page.tags:
                 seen.setdefault((host, 0, path, 0), [0, 0])[0] += 1
             for node in page.nodes:
-                if node.main or node.outside:
+                if node.outside:
                     continue
                 seen.setdefault((host, 1, node.path, digest(node.path, node.text)), [0, 0])[0] += 1
                 path = node.path

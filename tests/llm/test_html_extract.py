@@ -74,3 +74,16 @@ def test_attributes_count_by_their_exact_names(tag, attributes):
 @pytest.mark.parametrize("attributes", ["HIDDEN", "hidden=''", 'title="x"hidden', "aria-hidden = 'true'", "role=banner", 'style="color:red;display: none"', "class=\n'x ad'"])
 def test_attributes_that_put_a_part_outside(attributes):
     assert plain(f"<article><p>a</p><div {attributes}>b</div></article>") == "a"
+
+
+def test_template_texts_and_teasers_of_pages_with_articles(spark):
+    page = lambda i: (
+        f"<html><body><div class=top>Site name</div><main><article class=post><h1>Title {i}</h1><div class=tools>Send to a friend</div><div class=body>"
+        f"<p>Text number {i} of a page, which is long.</p><p>Second paragraph {i * i} of it, longer than the rest.</p></div>"
+        f"<p>Read also</p></article><div class=more><article class=card><p>Teaser {i + 1}</p></article><article class=card><p>Teaser {i + 2}</p></article></div></main></body></html>"
+    )
+    rows = [(i, f"http://a.org/{i}", page(i)) for i in range(20)] + [(100, "http://b.org/", page(5))]
+    got = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = {i: f"Title {i}\nText number {i} of a page, which is long.\nSecond paragraph {i * i} of it, longer than the rest." for i in range(20)}
+    assert {i: got[i] for i in want} == want
+    assert got[100].startswith("Title 5\nSend to a friend\nText number 5")  # one page shows no template
