@@ -1,9 +1,9 @@
 """Benchmark passages in documents, found by counting shared q-grams and verified by alignment.
 
-Benchmark items are cut into overlapping windows. A stretch of a document within ``k`` edits of a window of ``m`` characters shares at
-least m + 1 - q (k + 1) character q-grams with it, all within a band of diagonals k wide on either side. So documents are read once; hits of
-their q-grams are counted per window and band of diagonals (bands overlap, every stretch lies in one of them whole), bands below the
-bound are dropped, and the rest is verified by an alignment restricted to the band. The count never loses a stretch within the budget;
+Every stretch of ``window`` characters of a benchmark item is a window (they begin every ``step`` characters). A stretch of a document within
+``k`` edits of a window of ``m`` characters shares at least m + 1 - q (k + 1) character q-grams with it, all within a band of diagonals k wide on
+either side. So documents are read once; hits of their q-grams are sorted per item and band of diagonals (bands overlap, every stretch lies in
+one of them whole), windows with fewer hits than the bound are dropped, and the rest is verified by an alignment restricted to the band. The count never loses a stretch within the budget;
 the alignment never keeps one beyond it.
 
 The benchmark is sent to the tasks in blocks of at most ``block_chars`` characters, one pass over the documents for each, so what
@@ -35,10 +35,10 @@ GAP = np.uint32(0x7FFFFFFF)  # no character
 
 @dataclass(frozen=True)
 class Budget:
-    """Windows of ``window`` characters every ``step`` (so a passage of both together holds a whole window), up to ``rate`` edits a character, q-grams of ``q``, bands of ``band`` diagonals."""
+    """Windows of ``window`` characters every ``step``, up to ``rate`` edits a character, q-grams of ``q``, bands of ``band`` diagonals. A passage of ``least_chars`` holds a whole window."""
 
-    window: int = 80
-    step: int = 20
+    window: int = 40
+    step: int = 1
     rate: float = 0.07
     q: int = 10
     band: int = 16
@@ -68,41 +68,38 @@ def codes(text: str) -> np.ndarray:
 
 
 class Index:
-    """q-grams of a block of items."""
+    """q-grams of a block of items, by their places in the items' joined text."""
 
     def __init__(self, items: Iterable[tuple[object, str]], budget: Budget) -> None:
         self.budget = budget
         self.items: list[object] = []
-        of_item, starts, patterns, hashes, window_of, offset = [], [], [], [], [], []
+        values, hashes, places, total = [], [], [], 0
         for item, text in items:
             value = codes(normalise(text))
             if len(value) < max(budget.least_chars, budget.q):
                 continue
-            m = min(budget.window, len(value))
-            for start in [*range(0, len(value) - m, budget.step), len(value) - m]:
-                grams = gram_hashes(value[start : start + m], budget.q)
-                hashes.append(grams)
-                window_of.append(np.full(len(grams), len(patterns)))
-                offset.append(np.arange(len(grams)))
-                patterns.append(value[start : start + m])
-                of_item.append(len(self.items))
-                starts.append(start)
+            grams = gram_hashes(value, budget.q)
+            hashes.append(grams)
+            places.append(total + np.arange(len(grams)))
+            values.append(value)
+            total += len(value)
             self.items.append(item)
-        self.of_item, self.starts, self.patterns = np.array(of_item, np.int64), np.array(starts, np.int64), patterns
-        self.sizes = np.array([len(p) for p in patterns], np.int64)
-        self.edits = np.array([budget.edits(len(p)) for p in patterns], np.int64)
-        self.bounds = np.array([budget.bound(len(p)) for p in patterns], np.int64)
+        self.text = np.concatenate(values) if values else np.zeros(0, np.uint32)
+        self.lengths = np.array([len(v) for v in values], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.sizes = np.minimum(self.lengths, budget.window)
+        self.edits = np.array([budget.edits(m) for m in self.sizes.tolist()], np.int64)
+        self.bounds = np.array([budget.bound(m) for m in self.sizes.tolist()], np.int64)
         flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(flat, kind="stable")
-        self.window_of = np.concatenate(window_of)[order] if hashes else np.zeros(0, np.int64)
-        self.offset = np.concatenate(offset)[order] if hashes else np.zeros(0, np.int64)
+        self.place = np.concatenate(places)[order] if places else np.zeros(0, np.int64)
         self.grams, self.begin, self.count = np.unique(flat[order], return_index=True, return_counts=True)
         self.shift = np.uint64(64 - max(10, int(len(self.grams) * 16).bit_length()))
         self.seen = np.zeros(1 << int(64 - int(self.shift)), bool)
         self.seen[self.grams >> self.shift] = True
 
     def search(self, text: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """Window, end in ``text`` and edits of every verified stretch (the best end of each band)."""
+        """Item, end in ``text`` and edits of every verified stretch (the best end of each window and band)."""
         if not len(self.grams) or len(text) < self.budget.q:
             return
         hashes = gram_hashes(text, self.budget.q)
@@ -110,50 +107,87 @@ class Index:
         gram = np.minimum(np.searchsorted(self.grams, hashes[at]), len(self.grams) - 1)
         exact = self.grams[gram] == hashes[at]
         at, gram = at[exact], gram[exact]
-        most = int(self.edits.max())
-        reach = int(self.sizes.max()) + 2 * most + self.budget.band
+        reach = int(self.sizes.max()) + 2 * int(self.edits.max()) + self.budget.band
         crowd = np.searchsorted(at, at + reach, side="right") - np.searchsorted(at, at - reach)
         dense = crowd >= self.bounds.min()  # a stretch needs that many hits around each of its own
         at, gram = at[dense], gram[dense]
-        if not len(at):
-            return
+        bands = (len(text) + int(self.lengths.max()) + 2 * reach) // self.budget.band + 3
+        total = len(self.text)
+        # One number orders hits by item, band and place: it stays below 2^63 for blocks of 2^20 characters and pieces of this size.
+        sums = np.cumsum(self.count[gram])
+        cuts = np.searchsorted(sums, np.arange(1 << 22, int(sums[-1]), 1 << 22)) if len(sums) else []
+        for low, high in self._apart(at, [0, *cuts, len(at)], reach):
+            yield from self._windows(text, at[low:high], gram[low:high], bands, total)
+
+    @staticmethod
+    def _apart(at: np.ndarray, cuts: list[int], reach: int) -> Iterator[tuple[int, int]]:
+        """Ranges of hits between the cuts, each with what lies within reach behind it."""
+        for low, high in zip(cuts, cuts[1:]):
+            if low < high:
+                yield int(low), int(np.searchsorted(at, at[high - 1] + 2 * reach, side="right"))
+
+    def _windows(self, text: np.ndarray, at: np.ndarray, gram: np.ndarray, bands: int, total: int) -> Iterator[tuple[int, int, int]]:
+        """Windows with as many hits as their bound, aligned."""
+        wide = self.budget.band
         times = self.count[gram]
-        entry = np.repeat(self.begin[gram], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        window = self.window_of[entry]
-        diagonal = np.repeat(at, times) - self.offset[entry] + reach
-        band = diagonal // self.budget.band
-        also = diagonal % self.budget.band < 2 * self.edits[window]
-        window, band = np.append(window, window[also]), np.append(band, band[also] - 1)
-        bands = (len(text) + 2 * reach) // self.budget.band + 2
-        key, hits = np.unique(window * bands + band, return_counts=True)
-        window, band = np.divmod(key[hits >= self.bounds[key // bands]], bands)
-        for m in np.unique(self.sizes[window]).tolist():
-            chosen = np.flatnonzero(self.sizes[window] == m)
-            for low in range(0, len(chosen), 4096):
-                some = chosen[low : low + 4096]
-                yield from self._align(text, window[some], band[some] * self.budget.band - reach, m)
-
-    def _align(self, text: np.ndarray, window: np.ndarray, first: np.ndarray, m: int) -> Iterator[tuple[int, int, int]]:
+        place = self.place[np.repeat(self.begin[gram], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)]
+        item = np.searchsorted(self.starts, place, side="right") - 1
+        shift = int(self.lengths.max()) + wide
+        diagonal = np.repeat(at, times) - (place - self.starts[item]) + shift
+        band = diagonal // wide
+        also = diagonal % wide < 2 * self.edits[item]
+        key = np.concatenate([(item * bands + band) * total + place, ((item * bands + band - 1) * total + place)[also]])
+        key.sort()
+        group, place = np.divmod(key, total)
+        item = group // bands
+        last = np.arange(len(key)) + self.bounds[item] - 1
+        first = np.flatnonzero(last < len(key))
+        last = last[first]
+        span = self.sizes[item[first]] - self.budget.q
+        enough = (group[first] == group[last]) & (place[last] - place[first] <= span)
+        first, last, span = first[enough], last[enough], span[enough]
+        if not len(first):
+            return
+        item, begin = item[first], self.starts[item[first]]
+        end = begin + self.lengths[item] - self.sizes[item]  # where the last window begins
+        low, high = np.maximum(place[last] - span, begin), np.minimum(place[first], end)
+        for part in range(0, len(first), 65_536):
+            some = slice(part, part + 65_536)
+            many = high[some] - low[some] + 1
+            start = np.repeat(low[some], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            key = np.unique(np.repeat(group[first[some]], many) * total + start)
+            of, start = np.divmod(key, total)
+            number, band = np.divmod(of, bands)
+            local = start - self.starts[number]
+            wanted = (local % self.budget.step == 0) | (local == self.lengths[number] - self.sizes[number])
+            number, band, start, local = number[wanted], band[wanted], start[wanted], local[wanted]
+            for m in np.unique(self.sizes[number]).tolist():
+                chosen = np.flatnonzero(self.sizes[number] == m)
+                for at_ in range(0, len(chosen), 4096):
+                    c = chosen[at_ : at_ + 4096]
+                    yield from self._align(text, number[c], start[c], band[c] * wide - shift + local[c], m)
+
+    def _align(self, text: np.ndarray, item: np.ndarray, start: np.ndarray, first: np.ndarray, m: int) -> Iterator[tuple[int, int, int]]:
         """Fewest edits between each window and a stretch of the text on the band's diagonals."""
-        k = int(self.edits[window[0]])
+        k = int(self.edits[item[0]])
         low, width = first - k, self.budget.band + 4 * k + 1
-        pattern = np.stack([self.patterns[w] for w in window.tolist()])
+        pattern = self.text[start[:, None] + np.arange(m)[None]]
         there = low[:, None] + np.arange(width + m)[None]
         inside = (there >= 0) & (there < len(text))
         around = np.where(inside, text[np.clip(there, 0, len(text) - 1)], GAP)
         slope = np.arange(width)
-        cost = np.zeros((len(window), width), np.int64)
+        cost = np.zeros((len(item), width), np.int64)
         for r in range(m):
             step = cost + (around[:, r : r + width] != pattern[:, r : r + 1])
             step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)
             cost = np.minimum.accumulate(step - slope, axis=1) + slope
         best = cost.argmin(axis=1)
-        edits = cost[np.arange(len(window)), best]
+        edits = cost[np.arange(len(item)), best]
         for i in np.flatnonzero(edits <= k).tolist():
-            yield int(window[i]), int(low[i] + m + best[i]), int(edits[i])
+            yield int(item[i]), int(low[i] + m + best[i]), int(edits[i])
 
 
-def find_in_texts(texts: list[str], index: Index, most: int = 1 << 20) -> Iterator[tuple[int, int, int, int, int]]:
+def find_in_texts(texts: list[str], index: Index, most: int = 1 << 18) -> Iterator[tuple[int, int, int, int, int]]:
     """Text, item, begin, end and edits of every stretch found; texts are read ``most`` characters at a time."""
     gap = np.full(2 * int(index.edits.max(initial=0)) + 2, GAP, np.uint32)
     overlap = 2 * (int(index.sizes.max(initial=0)) + 4 * len(gap) + index.budget.band)
@@ -163,10 +197,10 @@ def find_in_texts(texts: list[str], index: Index, most: int = 1 << 20) -> Iterat
 
     def flush() -> Iterator[tuple[int, int, int, int, int]]:
         begins = np.array([p[0] for p in places])
-        for window, end, edits in index.search(np.concatenate(parts)):
+        for item, end, edits in index.search(np.concatenate(parts)):
             begin, number, offset = places[int(np.searchsorted(begins, max(0, end - 1), side="right")) - 1]
             stop = end - begin + offset
-            yield number, int(index.of_item[window]), max(0, stop - int(index.sizes[window])), stop, edits
+            yield number, item, max(0, stop - int(index.sizes[item])), stop, edits
 
     for number, text in enumerate(texts):
         value = codes(normalise(text))

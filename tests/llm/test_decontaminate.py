@@ -67,3 +67,20 @@ def test_empty_tables(spark):
 @pytest.mark.parametrize("m", range(10, 101))
 def test_bound_is_positive(m):
     assert Budget().bound(m) >= 1
+
+
+def test_every_passage_of_least_chars_is_found(rng):
+    """Passages cut from a longer item at any place, and items with a word replaced in every 80 characters."""
+    items = [(i, normalise(words(rng, 120))) for i in range(10)]
+    index = Index(items, Budget())
+    for i, item in items:
+        for n in (40, 43, 55, 79, 90):
+            at = rng.randrange(len(item) - n)
+            text = f"{words(rng, 30)} {item[at : at + n].strip().ljust(40, item[at + n])} {words(rng, 30)}"
+            if normalise(item[at : at + n]) == item[at : at + n]:
+                assert i in {f[1] for f in find_in_texts([text], index)}, (n, at)
+        reworded = item
+        for at in range(20, len(item) - 20, 80):
+            reworded = reworded[:at] + "zzzzzzzz" + reworded[at + 8 :]
+        assert i in {f[1] for f in find_in_texts([reworded], index)}
+    assert not list(find_in_texts([words(rng, 3000)], index))
