@@ -11,7 +11,8 @@ from barloom.llm.queries import ORACLES, QUERIES
 sys.path.insert(0, str(Path(__file__).resolve().parents[2] / "tools"))
 
 from check_queries import compare, connect  # noqa: E402
-from test_dedup import plain_components, plain_lines  # noqa: E402
+from test_dedup import plain_lines  # noqa: E402
+from test_near_dedup_stage import plain as plain_groups  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables not present")
@@ -45,7 +46,10 @@ def test_stages(spark):
 
     apart = corpus_pipeline.drop_near_duplicates(spark, lines, FOLDER).cache()
     rows = [(r.doc_id, r.text) for r in lines.collect()]
-    assert sorted(str(r.doc_id) for r in apart.collect()) == sorted({least for _, _, least in plain_components(rows)})
+    groups = {}
+    for (i, _), group in zip(rows, plain_groups([text or "" for _, text in rows])):
+        groups.setdefault(group, []).append(i)
+    assert len(groups) < len(rows) and sorted(r.doc_id for r in apart.collect()) == sorted(min(ids) for ids in groups.values())
 
     free = corpus_pipeline.drop_benchmark_passages(spark, apart, FOLDER).cache()
     items = [" ".join(r.text.lower().split()) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
