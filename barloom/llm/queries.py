@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat_format, decontaminate, exact_dedup, html_extract, line_dedup, line_quality, pii, simhash, suffix_dedup
+from barloom.llm import bpe, chat_format, decontaminate, exact_dedup, html_extract, line_dedup, line_quality, merkle, pii, simhash, suffix_dedup
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,18 @@ def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.format_chats(table(spark, folder, "conversations"))
+
+
+def _hex(name: str) -> Column:
+    return F.lower(F.hex(name)).alias(name)
+
+
+@query
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0
+    changed = {"n_chars": F.col("n_chars") + F.when(tampered, 1).otherwise(0)}
+    found = merkle.manifest(table(spark, folder, "documents"), changed=changed)
+    return found.select(
+        "doc_id", _hex("leaf"), _hex("subroot"), _hex("root"), F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), _hex("folded_root"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
