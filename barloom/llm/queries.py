@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import bpe, chat_format, decontaminate, exact_dedup, html_extract, line_dedup, line_quality, merkle, pii, simhash, suffix_dedup
+from barloom.llm import bpe, chat_format, decontaminate, exact_dedup, html_extract, line_dedup, line_quality, merkle, ngram_join, pii, prefix_trie, simhash, suffix_dedup
 from barloom.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -167,3 +167,15 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", _hex("leaf"), _hex("subroot"), _hex("root"), F.sha2(F.lower(F.hex("proof")), 256).alias("proof_sha256"), _hex("folded_root"),
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    convs = prefix_trie.sequences(table(spark, folder, "conversations"))
+    taken = F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(9)).cast("int")
+    return prefix_trie.prefix_nodes(prefix_trie.rebuilt(convs, F.col("conv_id") - F.col("conv_id") % 5, taken, most=8))
+
+
+@query
+def op11_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_documents(table(spark, folder, "documents"))
