@@ -21,8 +21,8 @@ name a component unless it has no other. An empty table gives an empty one. Extr
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+import re
+from functools import lru_cache, reduce
 from math import log
 
 import numpy as np
@@ -32,14 +32,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.llm.common import SLICE, cut_lineage, map_batches, strings
+from barloom.llm.common import cut_lineage, map_batches, strings
 from barloom.llm.components import connected_components
 
 PARTS = 8  # hash ranges of the suffix filter, by the upper three bits
-#: Words whose hashes a task remembers.
-REMEMBERED = 1 << 19
+#: Bytes hashed at once, cut between words.
+BLOCK = 1 << 20
 _ONE, _TWO = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_words: dict[bytes, int] = {}
+_FACTOR = 0xD1342543DE82EF95
+_LETTERS = np.random.default_rng(42).integers(0, 2**64, 256, np.uint64)
+_WORD = np.array([chr(i) not in " \t\n\v\f\r" for i in range(256)])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -48,20 +50,49 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the factor and of its inverse, modulo 2 ** 64."""
+    return tuple(np.cumprod(np.concatenate(([1], np.full(n, f, np.uint64))).astype(np.uint64)) for f in (_FACTOR, pow(_FACTOR, -1, 1 << 64)))
+
+
+def _block_hashes(data: bytes) -> np.ndarray:
+    """A hash per word: sums of its letters' numbers times powers of their places, all words at once."""
+    letters = np.frombuffer(data, np.uint8)
+    powers, inverse = _powers(max(BLOCK, 1 << (len(data) - 1).bit_length()))
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = _WORD[letters]
+    edges = np.flatnonzero(np.diff(inside))
+    starts, ends = edges[::2], edges[1::2]
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_LETTERS[letters] * powers[: len(data)], out=sums[1:])
+    return _mixed((sums[ends] - sums[starts]) * inverse[starts])
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """Hashes of the words of a text, A-Z lower-cased, in order."""
+    data = text.encode().lower()
+    parts, at = [], 0
+    while len(data) - at > BLOCK:
+        cut = re.compile(rb"[\x20\x09-\x0D]").search(data, at + BLOCK)
+        if not cut:
+            break
+        parts.append(_block_hashes(data[at : cut.start()]))
+        at = cut.start()
+    if len(data) > at:
+        parts.append(_block_hashes(data[at:]))
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
 def shingle_hashes(text: str, shingle: int = 3) -> np.ndarray:
     """Hashes of the different shingles of a text, sorted."""
-    words = text.encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    if len(_words) > REMEMBERED:
-        _words.clear()
-    for word in set(words) - _words.keys():
-        _words[word] = xxhash.xxh64_intdigest(word)
-    hashed = np.array([_words[word] for word in words], np.uint64)
+    words = word_hashes(text)
+    if not len(words):
+        return words
     width = min(shingle, len(words))
     out = np.full(len(words) - width + 1, width, np.uint64)
     for i in range(width):
-        out = _mixed(out + hashed[i : i + len(out)])
+        out = _mixed(out + words[i : i + len(out)])
     return np.unique(out)
 
 

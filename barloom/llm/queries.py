@@ -179,3 +179,112 @@ def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op11_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_documents(table(spark, folder, "documents"))
+
+#: CRC-32 of a text of ASCII characters, for the SQL below.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST({} AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, k: xor(v >> 1, 3988292384 * (v & 1)))))"""
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE concat(strlen(CAST({0} AS VARCHAR)), ':', {0}) END"
+_LEAF = "sha256(concat(" + ", ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "{n}", "text")) + "))"
+
+ORACLES["op12_merkle_manifest"] = f"""
+WITH RECURSIVE d AS (
+  SELECT *, CASE WHEN {_CRC32.format('doc_id')} % 7 = 0 THEN n_chars + 1 ELSE n_chars END AS later_chars FROM documents
+), leaves AS (
+  SELECT doc_id, lang, {_LEAF.format(n='n_chars')} AS leaf, {_LEAF.format(n='later_chars')} AS later FROM d
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+), low AS (
+  SELECT 0 AS level, lang, place, leaf AS h, n FROM placed
+  UNION ALL
+  SELECT level + 1, lang, place // 2, sha256(string_agg(h, '' ORDER BY place)), any_value((n + 1) // 2) FROM low WHERE n > 1 GROUP BY level, lang, place // 2
+), subroots AS (
+  SELECT lang, h, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM low WHERE n = 1
+), high AS (
+  SELECT 0 AS level, place, h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, place // 2, sha256(string_agg(h, '' ORDER BY place)), any_value((n + 1) // 2) FROM high WHERE n > 1 GROUP BY level, place // 2
+), steps AS (
+  SELECT p.doc_id, p.leaf, o.level AS step, o.h AS other, o.place % 2 = 1 AS other_right
+  FROM placed p JOIN low o ON o.lang IS NOT DISTINCT FROM p.lang AND o.place = xor(p.place >> o.level, 1) AND o.n > 1
+  UNION ALL
+  SELECT p.doc_id, p.leaf, 100 + o.level, o.h, o.place % 2 = 1
+  FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN high o ON o.place = xor(s.place >> o.level, 1) AND o.n > 1
+), levels AS (
+  SELECT doc_id, leaf, later, lang, unnest(generate_series(0, CAST((SELECT max(level) FROM low l WHERE l.lang IS NOT DISTINCT FROM placed.lang) - 1 AS BIGINT))) AS step FROM placed
+  UNION ALL
+  SELECT doc_id, leaf, later, lang, unnest(generate_series(100, CAST((SELECT max(level) FROM high) + 99 AS BIGINT))) FROM placed
+), ways AS (
+  SELECT l.doc_id, l.leaf, l.later, row_number() OVER (PARTITION BY l.doc_id, l.leaf ORDER BY l.step) AS step, s.other, s.other_right
+  FROM levels l LEFT JOIN steps s ON s.doc_id IS NOT DISTINCT FROM l.doc_id AND s.leaf = l.leaf AND s.step = l.step
+), fold AS (
+  SELECT doc_id, leaf, later AS h, 0 AS step FROM placed
+  UNION ALL
+  SELECT f.doc_id, f.leaf, sha256(CASE WHEN other IS NULL THEN h WHEN other_right THEN concat(h, other) ELSE concat(other, h) END), f.step + 1
+  FROM fold f JOIN ways w ON w.doc_id IS NOT DISTINCT FROM f.doc_id AND w.leaf = f.leaf AND w.step = f.step + 1
+), folded AS (
+  SELECT doc_id, leaf, arg_max(h, step) AS h FROM fold GROUP BY doc_id, leaf
+), proofs AS (
+  SELECT doc_id, leaf, sha256(coalesce(string_agg(other, '' ORDER BY step), '')) AS proof_sha256 FROM ways GROUP BY doc_id, leaf
+)
+SELECT p.doc_id, p.leaf, s.h AS subroot, r.h AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
+FROM placed p JOIN subroots s ON s.lang IS NOT DISTINCT FROM p.lang JOIN (SELECT h FROM high WHERE n = 1) r ON true
+JOIN folded f ON f.doc_id IS NOT DISTINCT FROM p.doc_id AND f.leaf = p.leaf
+LEFT JOIN proofs q ON q.doc_id IS NOT DISTINCT FROM p.doc_id AND q.leaf = p.leaf
+"""
+
+ORACLES["op13_prefix_trie"] = f"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i, coalesce(text, '') AS text,
+         md5(concat(strlen(coalesce(role, '')), ':', role, text)) AS token FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, {_CRC32.format('conv_id')} % 9 AS h FROM (SELECT DISTINCT conv_id FROM own)
+), turns AS (
+  SELECT c.conv_id, 0 AS part, o.i, o.text, o.token FROM convs c JOIN own o ON o.conv_id = c.base AND o.i <= c.h
+  UNION ALL
+  SELECT c.conv_id, 1, o.i, o.text, o.token FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.i > c.h
+), paths AS (
+  SELECT conv_id, row_number() OVER w AS depth, string_agg(token, '') OVER w AS path, strlen(text) AS bytes FROM turns
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, i)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+), longest AS (
+  SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id
+), nodes AS (
+  SELECT path, any_value(p.depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own_saved,
+         coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (p.depth = l.depth), '') AS ends
+  FROM paths p JOIN longest l USING (conv_id) GROUP BY path
+), kids AS (
+  SELECT substr(path, 1, 32 * (depth - 1)) AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), up AS (
+  SELECT unnest(list_transform(generate_series(0, depth), lambda d: substr(n.path, 1, 32 * d))) AS path, own_saved, k.path IS NULL AS leaf FROM nodes n LEFT JOIN kids k USING (path)
+), sums AS (
+  SELECT path, sum(own_saved) AS saved, count(*) FILTER (leaf) AS n_leaves FROM up GROUP BY path
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+       sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN sums s USING (path) LEFT JOIN kids k USING (path) LEFT JOIN nodes p ON n.depth > 0 AND p.path = substr(n.path, 1, 32 * (n.depth - 1))
+"""
+
+ORACLES["op11_ngram_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), s AS (
+  SELECT r, doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+         ELSE list_distinct(list_transform(generate_series(1, len(words) - 2), lambda i: concat_ws(' ', words[i], words[i + 1], words[i + 2]))) END AS shingles FROM d
+), t AS (
+  SELECT r, hash(unnest(shingles)) AS token FROM s
+), links AS (
+  SELECT a.r AS a, b.r AS b FROM t a JOIN t b ON a.token = b.token AND a.r < b.r JOIN s x ON x.r = a.r JOIN s y ON y.r = b.r
+  WHERE len(x.shingles) >= 0.8999 * len(y.shingles) AND len(y.shingles) >= 0.8999 * len(x.shingles)
+  GROUP BY a.r, b.r, len(x.shingles), len(y.shingles) HAVING 190 * count(*) >= 90 * (len(x.shingles) + len(y.shingles))
+), sides AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT r AS a, r AS b FROM s UNION SELECT reach.a, sides.b FROM reach JOIN sides ON reach.b = sides.a
+)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, min(o.doc_id) AS component_id
+FROM s JOIN reach ON reach.a = s.r JOIN s o ON o.r = reach.b GROUP BY s.r, s.doc_id, len(s.shingles)
+"""

@@ -88,3 +88,13 @@ def test_filters_pass_every_linked_pair(rng):
         if 100 * both >= 90 * (n + m - both):
             assert both >= max(ngram_join.least_overlap(s, 90, 100) for s in (n, m))
             assert all(s - both < ngram_join.prefix_length(s, 90, 100) for s in (n, m))
+
+
+def test_words_are_hashed_alike_in_blocks(rng, monkeypatch):
+    text = " ".join("".join(rng.choice("abcÉ\0") for _ in range(rng.randint(1, 30))) for _ in range(300)) + "\t" + "z" * 500 + "\n\x0b A\x1cB"
+    whole = ngram_join.word_hashes(text)
+    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", lower(text)) if w]
+    assert len(whole) == len(words) and len(set(whole.tolist())) == len(set(words))
+    monkeypatch.setattr(ngram_join, "BLOCK", 64)
+    assert ngram_join.word_hashes(text).tolist() == whole.tolist()
+    assert [ngram_join.word_hashes(w)[0] for w in words[:20]] == whole[:20].tolist()
