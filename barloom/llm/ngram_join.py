@@ -39,7 +39,7 @@ PARTS = 8  # hash ranges of the suffix filter, by the upper three bits
 #: Bytes hashed at once, cut between words.
 BLOCK = 1 << 20
 _ONE, _TWO = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_FACTOR = 0xD1342543DE82EF95
+_FACTOR, _PLACE = 0xD1342543DE82EF95, np.uint64(0x9E3779B97F4A7C15)
 _LETTERS = np.random.default_rng(42).integers(0, 2**64, 256, np.uint64)
 _WORD = np.array([chr(i) not in " \t\n\v\f\r" for i in range(256)])
 
@@ -53,7 +53,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=2)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the factor and of its inverse, modulo 2 ** 64."""
-    return tuple(np.cumprod(np.concatenate(([1], np.full(n, f, np.uint64))).astype(np.uint64)) for f in (_FACTOR, pow(_FACTOR, -1, 1 << 64)))
+    factors = (_FACTOR, pow(_FACTOR, -1, 1 << 64))
+    return tuple(np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(n, f, np.uint64)))) for f in factors)
 
 
 def _block_hashes(data: bytes) -> np.ndarray:
@@ -92,8 +93,10 @@ def shingle_hashes(text: str, shingle: int = 3) -> np.ndarray:
     width = min(shingle, len(words))
     out = np.full(len(words) - width + 1, width, np.uint64)
     for i in range(width):
-        out = _mixed(out + words[i : i + len(out)])
-    return np.unique(out)
+        out = out * _PLACE + words[i : i + len(out)]
+    out = _mixed(out)
+    out.sort()
+    return out[np.concatenate(([True], out[1:] != out[:-1]))]
 
 
 def least_overlap(size: int, num: int, den: int) -> int:
