@@ -3,9 +3,14 @@
 A page is read as tokens: its tags, each with the path of tags (and classes) above it, and its texts, those of the article too. The
 occurrence vector of a token counts it on every page of its host; two random linear hashes of the vector stand for it, which are
 sums over pages and so are added up before and after the shuffle, however many pages a host has. Tokens of one host with the same
-vector are an equivalence class. A class is valid if it covers most pages of its host; it nests where the paths of its tags say.
-Texts that are in the class of a tag belong to the template, the places that vary are its slots. The main slot is the deepest template tag that holds
-most of the host's text. What is left of a page is its main slot without template texts. Tag, role and class words are further evidence: parts
+vector are an equivalence class. It is valid if it covers most pages of its host, has several tokens, a tag among them, and its tokens first occur in the
+same order on all its pages. Classes nest by the paths of their tags; together they are the template, and what they leave over is the slots. The
+main slot is the deepest tag of the template that holds other blocks and most of the text that is in no class.
+
+Text of a valid class is template, but for one case: pages that are near copies (editions, mirrors) share their article too. Where the texts of a class
+are half or more of the main slot on the pages that have it, they are the content of copies, and stay.
+
+What is left of a page is its main slot without template texts. Tag, role and class words are further evidence: parts
 they call something else are left out before, and where a page has ``<article>`` or ``<main>`` elements, the slot is widened to the innermost of
 them around it (a heading beside the body stays), or else what is in them is kept of the slot.
 
@@ -22,6 +27,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 import xxhash
@@ -70,6 +76,8 @@ class Node:
 class Page:
     tags: list[str] = field(default_factory=list)
     nodes: list[Node] = field(default_factory=list)
+    #: Tags (as digests) and texts in order.
+    order: list[tuple[int, Node | None]] = field(default_factory=list)
 
 
 def _attributes(source: str) -> dict[str, str]:
@@ -105,6 +113,7 @@ def read_page(source: str) -> Page:
         if upto > at and source[at:upto].strip():
             _, path, outside, main = stack[-1] if stack else ("", "", False, False)
             page.nodes.append(Node(path, block, outside, main, source[at:upto]))
+            page.order.append((0, page.nodes[-1]))
         elif upto > at and page.nodes and page.nodes[-1].block == block:
             page.nodes[-1].text += " "
 
@@ -146,6 +155,7 @@ def read_page(source: str) -> Page:
         outside = outside or _outside(tag, attributes, main)
         main = main or (not outside and (tag in MAIN or attributes.get("role", "").lower() == "main"))
         page.tags.append(path)
+        page.order.append((tag_digest(path), None))
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
             at = end.end() if end else size
@@ -166,6 +176,11 @@ def digest(path: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\n{' '.join(text.split())}") - (1 << 63)
 
 
+@lru_cache(maxsize=1 << 16)
+def tag_digest(path: str) -> int:
+    return digest(path, "")
+
+
 def main_text(source: str, slot: str | None, fixed: frozenset[int]) -> str:
     """Text of a page, given its host's main slot and template texts."""
     inside = [node for node in read_page(source).nodes if not node.outside]
@@ -176,7 +191,7 @@ def main_text(source: str, slot: str | None, fixed: frozenset[int]) -> str:
             parts = slot.split("/")
             depth = max((i for i, part in enumerate(parts) if re.split(r"[.#]", part)[0] in MAIN), default=len(parts) - 1)
             frame = "/".join(parts[: depth + 1])
-        below = [node for node in article or inside if node.path == frame or node.path.startswith(f"{frame}/")]
+        below = [node for node in article or inside if within(node.path, frame)]
         inside = below or article or inside
     else:
         inside = article or inside
@@ -184,25 +199,31 @@ def main_text(source: str, slot: str | None, fixed: frozenset[int]) -> str:
     return _blocks(own or inside)
 
 
+def within(path: str, frame: str) -> bool:
+    return path == frame or path.startswith(f"{frame}/")
+
+
 TOKENS = "host string, kind int, token string, digest long, pages long, total long, first long, second long, chars long"
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch, host and token: pages, occurrences, both hashes of the occurrence vector, characters of text below."""
+    """Per batch, host and token: pages, occurrences, both hashes of the occurrence vector, characters of (or below) it."""
     for batch in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
         sums: dict[tuple, list[int]] = {}
         for host, source, number in zip(strings(batch.column(0)), strings(batch.column(1)), batch.column(2).to_pylist()):
             page = read_page(source)
             seen: dict[tuple, list[int]] = {(host, 0, "", 0): [1, 0]}
             for path in page.tags:
-                seen.setdefault((host, 0, path, 0), [0, 0])[0] += 1
+                seen.setdefault((host, 0, path, tag_digest(path)), [0, 0])[0] += 1
             for node in page.nodes:
                 if node.outside:
                     continue
-                seen.setdefault((host, 1, node.path, digest(node.path, node.text)), [0, 0])[0] += 1
+                known = seen.setdefault((host, 1, node.path, digest(node.path, node.text)), [0, 0])
+                known[0] += 1
+                known[1] += len(node.text)
                 path = node.path
                 while path:
-                    seen.setdefault((host, 0, path, 0), [0, 0])[1] += len(node.text)
+                    seen.setdefault((host, 0, path, tag_digest(path)), [0, 0])[1] += len(node.text)
                     path = path.rpartition("/")[0]
                 seen[host, 0, "", 0][1] += len(node.text)
             mark = f"{number}"
@@ -217,23 +238,69 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[x.split()[0] for x in TOKENS.split(", ")])
 
 
-def templates(pages: DataFrame, support: float = 0.5, least_pages: int = 3) -> DataFrame:
+#: What holds other blocks: a main slot ends in one of these, not in a paragraph.
+CONTAINER = r"(^|/)(html|body|main|article|section|div|table|tbody|tr|td|center|blockquote|header|form|fieldset|details|dialog|figure)([.#][^/]*)?$"
+CLASSES = "host string, first long, second long, own long, slot_chars long, way_low long, way_high long"
+
+
+def _class_use(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per page and class of its host: the order of its tokens (hashed), its text and all text in the main slot."""
+    names, kinds = [c.split()[0] for c in CLASSES.split(", ")], [pa.string(), *[pa.int64()] * 6]
+    for batch in (whole.slice(i, SLICE) for whole in batches for i in range(0, whole.num_rows, SLICE)):
+        rows, known, members = [], None, {}
+        for host, source, slot, tokens in zip(strings(batch.column(0)), strings(batch.column(1)), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            if host != known:
+                known, members = host, {t["digest"]: (t["first"], t["second"]) for t in tokens}
+            page = read_page(source)
+            ways: dict[tuple[int, int], dict[int, None]] = {}
+            own: dict[tuple[int, int], int] = {}
+            total = 0
+            for mark, node in page.order:
+                if node and node.outside:
+                    continue
+                if node and slot and within(node.path, slot):
+                    total += len(node.text)
+                if key := members.get(mark if node is None else digest(node.path, node.text)):
+                    ways.setdefault(key, {}).setdefault(mark if node is None else digest(node.path, node.text))
+                    if node and slot and within(node.path, slot):
+                        own[key] = own.get(key, 0) + len(node.text)
+            for key, way in ways.items():
+                hashed = xxhash.xxh64_intdigest(",".join(map(str, way))) >> 1
+                rows.append((host, *key, own.get(key, 0), total, hashed, hashed))
+        columns = list(zip(*rows)) or [[]] * 7
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+
+
+def templates(pages: DataFrame, support: float = 0.5, least_pages: int = 3, copied: float = 0.5) -> DataFrame:
     """Per host: its main slot and the digests of its template texts, from pages with columns host, html and number."""
     tokens = pages.select("host", "html", "number").mapInArrow(_tokens, TOKENS)
     summed = tokens.groupBy("host", "kind", "token", "digest").agg(*(F.sum(c).alias(c) for c in ("pages", "total", "first", "second", "chars")))
     summed = cut_lineage(summed)
     hosts = summed.where("kind = 0 AND token = ''").select("host", F.col("pages").alias("host_pages"), F.col("chars").alias("host_chars"))
-    covered = summed.join(hosts, "host").where((F.col("pages") >= least_pages) & (F.col("pages") >= support * F.col("host_pages")))
+    covered = summed.join(hosts, "host").where((F.col("token") != "") & (F.col("pages") >= least_pages) & (F.col("pages") >= support * F.col("host_pages")))
     # At most 1 / support times the tokens of a page are left of a host, so a class and a template are never large.
-    classes = covered.groupBy("host", "first", "second").agg(
-        F.count_if(F.col("kind") == 0).alias("tags"), F.array_compact(F.collect_list(F.when(F.col("kind") == 1, F.col("digest")))).alias("texts")
-    )
-    fixed = classes.where("tags > 0 AND size(texts) > 0").groupBy("host").agg(F.flatten(F.collect_list("texts")).alias("fixed"))
-    slots = (
-        covered.where((F.col("kind") == 0) & (F.col("token") != "") & (F.col("chars") >= 0.6 * F.col("host_chars")) & (F.col("host_chars") > 0))
-        .groupBy("host")
-        .agg(F.max_by("token", F.struct(F.length("token"), "token")).alias("slot"))
+    sizes = covered.groupBy("host", "first", "second").agg(F.count_if(F.col("kind") == 0).alias("tags"), F.count_if(F.col("kind") == 1).alias("texts"))
+    several = sizes.where("tags > 0 AND texts > 0").select("host", "first", "second")
+    classed = cut_lineage(covered.join(several, ["host", "first", "second"]))
+
+    # Text that is in no class, below each tag: all text below it without the texts of classes.
+    above = F.expr("transform(sequence(2, size(split(token, '/'))), i -> array_join(slice(split(token, '/'), 1, i), '/'))")
+    held = classed.where("kind = 1").select("host", F.explode(above).alias("token"), F.col("chars").alias("held")).groupBy("host", "token").agg(F.sum("held").alias("held"))
+    in_all = classed.where("kind = 1").groupBy("host").agg(F.sum("chars").alias("held_all"))
+    tags = covered.where((F.col("kind") == 0) & F.col("token").rlike(CONTAINER)).join(held, ["host", "token"], "left").join(in_all, "host", "left")
+    free = F.col("chars") - F.coalesce("held", F.lit(0))
+    all_free = F.col("host_chars") - F.coalesce("held_all", F.lit(0))
+    most = F.when(all_free > 0, free >= 0.6 * all_free).otherwise((F.col("chars") >= 0.6 * F.col("host_chars")) & (F.col("host_chars") > 0))
+    slots = cut_lineage(tags.where(most).groupBy("host").agg(F.max_by("token", F.struct(F.length("token"), "token")).alias("slot")))
+
+    listed = classed.groupBy("host").agg(F.collect_list(F.struct("digest", "first", "second")).alias("tokens"))
+    used = pages.select("host", "html").join(listed, "host").join(slots, "host", "left").select("host", "html", "slot", "tokens").mapInArrow(_class_use, CLASSES)
+    judged = used.groupBy("host", "first", "second").agg(
+        F.sum("own").alias("own"), F.sum("slot_chars").alias("slot_chars"), F.min("way_low").alias("low"), F.max("way_high").alias("high")
     )
+    template = judged.where((F.col("low") == F.col("high")) & (F.col("own") < copied * F.col("slot_chars"))).select("host", "first", "second")
+    texts = classed.where("kind = 1").join(template, ["host", "first", "second"])
+    fixed = texts.groupBy("host").agg(F.collect_list("digest").alias("fixed"))
     return hosts.select("host").join(slots, "host", "left").join(fixed, "host", "left")
 
 
