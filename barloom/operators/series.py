@@ -160,18 +160,21 @@ def known_around(s: Series, cols: list[str], index: str, before: str, after: str
     """
     w = _window(s, False)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     s = s.with_columns({index: F.row_number().over(w).cast("bigint")})
     known = {c: F.when(F.col(c).isNotNull(), F.struct(F.col(c).cast("double").alias("v"), F.col(index).alias("i"))) for c in cols}
     back = {f"{before}{c}": F.last(v, ignorenulls=True).over(upto) for c, v in known.items()}
-    ahead = {f"{after}{c}": F.first(v, ignorenulls=True).over(onward) for c, v in known.items()}
+    # What comes next is the latest known value in the opposite order: a running frame, where one that ends with the
+    # partition would be evaluated anew for each row.
+    by = [*s.keys, SEGMENT] if s.split else s.keys
+    backwards = Window.partitionBy(*by).orderBy(F.col(index).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = {f"{after}{c}": F.last(v, ignorenulls=True).over(backwards) for c, v in known.items()}
     if not s.split:
         return s.with_columns({**back, **ahead})
     first = {f"_first_{c}": F.first(v, ignorenulls=True).over(upto) for c, v in known.items()}
     s = s.with_columns({**back, **ahead, **first})
     names = {**{k: f"_k{i}" for i, k in enumerate(s.keys)}, SEGMENT: "_ks"}
-    by = Window.partitionBy(*[v for k, v in names.items() if k != SEGMENT]).orderBy("_ks")
-    earlier, later = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
+    series = Window.partitionBy(*[v for k, v in names.items() if k != SEGMENT])
+    earlier, later = (series.orderBy(o).rowsBetween(Window.unboundedPreceding, -1) for o in (F.col("_ks").asc(), F.col("_ks").desc()))
     last = s.df.withColumn("_more", F.lead(F.lit(True)).over(w)).filter(F.col("_more").isNull())
     ends = last.select(
         *[F.col(k).alias(v) for k, v in names.items()], F.col(index).alias("_n"),
@@ -182,7 +185,7 @@ def known_around(s: Series, cols: list[str], index: str, before: str, after: str
     carried = ends.select(
         *names.values(), "_offset",
         *[F.last(f"_l_{c}", ignorenulls=True).over(earlier).alias(f"_cb_{c}") for c in cols],
-        *[F.first(f"_f_{c}", ignorenulls=True).over(later).alias(f"_ca_{c}") for c in cols],
+        *[F.last(f"_f_{c}", ignorenulls=True).over(later).alias(f"_ca_{c}") for c in cols],
     )
     df = s.df.join(carried, match_keys(names), "left")
     df = df.withColumns({
