@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.operators.series import SEGMENT_ROWS, arrange, match_keys, running_sum
+from barloom.operators.series import match_keys
 
 _DAY = "yyyy-MM-dd"
 
@@ -82,50 +82,76 @@ def all_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
 
-def column_stats(
-    df: DataFrame,
-    cols: list[str],
-    by: list[str],
-    kinds: tuple[str, ...] = ("mean", "median"),
-    max_rows: int = SEGMENT_ROWS,
-) -> DataFrame:
+def column_stats(df: DataFrame, cols: list[str], by: list[str], kinds: tuple[str, ...] = ("mean", "median")) -> DataFrame:
     """Mean and exact median of each column per group, as ``<col>_mean`` and ``<col>_median``.
 
-    Spark's exact median keeps the distinct values of a group in one task's memory. Values are
-    therefore ranked instead, see ``_ranked_medians``.
+    Spark's exact median keeps the distinct values of a group in one task's memory. The median is therefore
+    selected by counts, see ``_selected_medians``.
     """
     means = df.groupBy(*by).agg(*[F.avg(c).alias(f"{c}_mean") for c in cols]) if "mean" in kinds else None
     if "median" not in kinds:
         return means
-    medians = _ranked_medians(df, cols, by, max_rows)
-    if means is None:
-        return medians
+    medians = _selected_medians(df, cols, by)
     names = {k: f"_k{i}" for i, k in enumerate(by)}
-    renamed = medians.withColumnsRenamed(names)
-    return means.join(renamed, match_keys(names), "left").drop(*names.values())
+    groups = means if means is not None else df.select(*by).distinct()
+    return groups.join(medians.withColumnsRenamed(names), match_keys(names), "left").drop(*names.values())
 
 
-def _ranked_medians(df: DataFrame, cols: list[str], by: list[str], max_rows: int) -> DataFrame:
-    """Exact medians without gathering a group.
+#: Steps a factor of two is cut into, and linear steps inside such a bucket: 12 + 21 + 22 bits, two more than a double has.
+_FIRST, _NEXT = 1 << 12, (1 << 21, 1 << 22)
+_CODES = (1100 + 1100) * 2 * _FIRST
 
-    Equal values are counted first (partially before the shuffle, and spread over value as well as
-    group). The counts are then ranked by a running sum that splits large groups by value, and the
-    one or two values on the middle ranks are averaged.
+
+def _coarse(x: Column) -> Column:
+    """Bucket of a double, rising with it: its power of two, cut into ``_FIRST`` steps.
+
+    A logarithm that rounds up to the next power only gives a step below that power's first, so buckets keep their order.
+    """
+    size = F.abs(x)
+    power = F.floor(F.log2(size)).cast("double")
+    step = F.floor((size / F.pow(F.lit(2.0), power) - 1) * _FIRST)
+    code = ((power + 1100) * (2 * _FIRST) + step + 1).cast("bigint")
+    code = F.when(F.isnan(x), F.lit(_CODES + 1)).when(size == F.lit(float("inf")), F.lit(_CODES)).when(size == 0, F.lit(0)).otherwise(code)
+    return F.when(x < 0, -code).otherwise(code).cast("bigint")
+
+
+def _selected_medians(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
+    """Exact medians by narrowing the range of values that holds them, without an order over the rows.
+
+    Per group and column the values are counted by bucket, partially before the shuffle; the bucket with the middle rank is cut into finer
+    ones in the next pass. Three passes reach single values, whatever the number of rows. A group's counts are what one task orders: at
+    most a bucket per step, not a row per value. An even number of values has two middle ones: if the second is not the first again, it is the
+    least value above it, which each pass brings along.
     """
-    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    counted = (
-        df.select(*by, F.expr(f"stack({len(cols)}, {pairs}) AS (_column, _value)"))
-        .filter(F.col("_value").isNotNull())
-        .groupBy(*by, "_column", "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
+    keys = [f"_g{i}" for i in range(len(by))] + ["_column"]
+    pairs = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+    named = [F.col(k).alias(f"_g{i}") for i, k in enumerate(by)]
+    values = df.select(*named, F.expr(f"stack({len(cols)}, {pairs}) AS (_column, _x)")).filter(F.col("_x").isNotNull())
+    ordered = Window.partitionBy(*keys).orderBy("_bucket")
+
+    def narrowed(buckets: DataFrame, *carried: str) -> DataFrame:
+        """The bucket that holds the lower middle rank of each group and column."""
+        upto = F.sum("_n").over(ordered)
+        state = buckets.withColumns({"_upto": upto, "_above": F.lead("_lo").over(ordered)})
+        if not carried:
+            state = state.withColumns({"_total": F.sum("_n").over(Window.partitionBy(*keys)), "_below": F.lit(0).cast("bigint"), "_then": F.lit(None).cast("double")})
+        rank = F.expr("(_total + 1) div 2 - _below")
+        held = state.filter((F.col("_upto") - F.col("_n") < rank) & (F.col("_upto") >= rank))
+        return held.select(
+            *keys, "_lo", "_hi", "_n", "_total", (F.col("_below") + F.col("_upto") - F.col("_n")).alias("_below"), F.coalesce("_above", "_then").alias("_then")
+        )
+
+    counted = [F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")]
+    state = narrowed(values.withColumn("_bucket", _coarse(F.col("_x"))).groupBy(*keys, "_bucket").agg(*counted))
+    for steps in _NEXT:
+        range_ = state.select(*[F.col(k).alias(f"_s{k}") for k in keys], F.col("_lo").alias("_from"), F.col("_hi").alias("_to"), "_total", "_below", "_then")
+        inside = values.join(range_, match_keys({k: f"_s{k}" for k in keys})).filter(F.col("_x").between(F.col("_from"), F.col("_to")))
+        place = F.floor((F.col("_x") - F.col("_from")) / (F.col("_to") - F.col("_from")) * steps)
+        bucket = F.when(F.col("_from") == F.col("_to"), F.lit(0)).otherwise(place).cast("bigint")
+        known = [F.first(c).alias(c) for c in ("_total", "_below", "_then")]
+        state = narrowed(inside.withColumn("_bucket", bucket).groupBy(*keys, "_bucket").agg(*counted, *known), "carried")
+    again = F.expr("_total div 2 + 1") <= F.col("_below") + F.col("_n")
+    median = F.when(again, F.col("_lo")).otherwise((F.col("_lo") + F.col("_then")) / 2)
+    return state.groupBy(*[F.col(f"_g{i}").alias(k) for i, k in enumerate(by)]).agg(
+        *[F.max(F.when(F.col("_column") == i, median)).alias(f"{c}_median") for i, c in enumerate(cols)]
     )
-    keys = [*by, "_column"]
-    ranked = running_sum(arrange(counted, keys, ["_value"], max_rows), {"_upto": F.col("_n")}).rows()
-    names = {k: f"_g{i}" for i, k in enumerate(keys)}
-    totals = counted.groupBy(*[F.col(k).alias(v) for k, v in names.items()]).agg(F.sum("_n").alias("_total"))
-    low = F.expr("(_total + 1) div 2")
-    high = F.expr("_total div 2 + 1")
-    covers = [(F.col("_upto") - F.col("_n") < rank) & (F.col("_upto") >= rank) for rank in (low, high)]
-    middle = ranked.join(totals, match_keys(names)).filter(covers[0] | covers[1])
-    medians = middle.select(*by, "_column", "_value").unionByName(df.select(*by).distinct(), allowMissingColumns=True)
-    return medians.groupBy(*by).agg(*[F.avg(F.when(F.col("_column") == c, F.col("_value"))).alias(f"{c}_median") for c in cols])

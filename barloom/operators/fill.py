@@ -72,11 +72,11 @@ def custom_fill(df: DataFrame, cols: list[str], value) -> DataFrame:
 
 
 def mean_fill(df: DataFrame, cols: list[str], partition=BY) -> DataFrame:
-    return _statistic_fill(df, cols, partition, "mean", SEGMENT_ROWS)
+    return _statistic_fill(df, cols, partition, "mean")
 
 
-def median_fill(df: DataFrame, cols: list[str], partition=BY, max_rows=SEGMENT_ROWS) -> DataFrame:
-    return _statistic_fill(df, cols, partition, "median", max_rows)
+def median_fill(df: DataFrame, cols: list[str], partition=BY) -> DataFrame:
+    return _statistic_fill(df, cols, partition, "median")
 
 
 def enabled_policies(policies) -> list[str]:
@@ -132,7 +132,7 @@ def handle_missing(
     if "mean_fill" in steps:
         df = mean_fill(df, cols, partition)
     if "median_fill" in steps:
-        df = median_fill(df, cols, partition, max_rows)
+        df = median_fill(df, cols, partition)
     if "custom_fill" in steps:
         df = custom_fill(df, cols, value)
     return df
@@ -165,10 +165,10 @@ def _replace(s: Series, cols, prefix: str) -> Series:
     return replace(s, df=s.df.select(*kept))
 
 
-def _statistic_fill(df, cols, partition, kind, max_rows) -> DataFrame:
+def _statistic_fill(df, cols, partition, kind) -> DataFrame:
     df = nan_to_null(df, cols)
     names = {k: f"_k{i}" for i, k in enumerate(partition)}
-    stats = column_stats(df, cols, list(partition), kinds=(kind,), max_rows=max_rows)
+    stats = column_stats(df, cols, list(partition), kinds=(kind,))
     stats = stats.select(
         *[F.col(k).alias(v) for k, v in names.items()], *[F.col(f"{c}_{kind}").alias(f"_s_{c}") for c in cols]
     )

@@ -311,8 +311,8 @@ def column_stats(t):
     " FROM dirty GROUP BY symbol"
 )
 def column_medians_split(t):
-    """The medians by ranking, the way taken for groups too large for one task."""
-    stats = aggregates.column_stats(t.dirty(), ["close", "volume"], ["symbol"], ("median",), max_rows=100)
+    """The medians alone."""
+    stats = aggregates.column_stats(t.dirty(), ["close", "volume"], ["symbol"], ("median",))
     return rounded(stats, "close_median", "volume_median")
 
 

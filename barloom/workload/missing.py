@@ -108,7 +108,7 @@ def fill_median(t):
 
 @query(_MEDIAN)
 def fill_median_split(t):
-    return rounded(fill.median_fill(t.dirty(), COLS, max_rows=SMALL), *COLS)
+    return rounded(fill.handle_missing(t.dirty(), ["median_fill"], max_rows=SMALL), *COLS)
 
 
 @query("SELECT _ord, symbol, time, coalesce(close, 7) AS close, coalesce(volume, 7) AS volume FROM dirty")

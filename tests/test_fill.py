@@ -1,8 +1,14 @@
 """Missing-data policies on hand-made frames."""
 
+import math
+import random
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from barloom.operators import fill
+from barloom.operators.aggregates import column_stats
 
 SCHEMA = "_ord long, symbol string, time timestamp, open double, high double, low double, close double, volume double"
 
@@ -72,10 +78,9 @@ def test_backward_fill_leaves_trailing_gap(spark):
     assert values_of(fill.backward_fill(column(spark, [None, 1.0, None]), ["v"])) == [1.0, 1.0, None]
 
 
-@pytest.mark.parametrize("max_rows", [1, 100])
-def test_median_is_the_mean_of_the_middle_two(spark, max_rows):
+def test_median_is_the_mean_of_the_middle_two(spark):
     df = column(spark, [1.0, 2.0, 10.0, 20.0, None])
-    assert values_of(fill.median_fill(df, ["v"], max_rows=max_rows)) == [1.0, 2.0, 10.0, 20.0, 6.0]
+    assert values_of(fill.median_fill(df, ["v"])) == [1.0, 2.0, 10.0, 20.0, 6.0]
 
 
 def test_policies_run_in_fixed_order(spark):
@@ -105,6 +110,33 @@ def test_whole_number_columns_take_fractional_statistics(spark):
 
 def test_a_group_without_values_stays_missing(spark):
     df = column(spark, [None, None]).union(column(spark, [4.0, None], "B"))
-    for max_rows in (1, 100):
-        got = sorted(((r.symbol, r._ord), r.v) for r in fill.median_fill(df, ["v"], max_rows=max_rows).collect())
-        assert [v for _, v in got] == [None, None, 4.0, 4.0]
+    got = sorted(((r.symbol, r._ord), r.v) for r in fill.median_fill(df, ["v"]).collect())
+    assert [v for _, v in got] == [None, None, 4.0, 4.0]
+
+
+def test_medians_of_all_kinds_of_doubles(spark):
+    rng = random.Random(7)
+    near = [1.0, math.nextafter(1.0, 2), math.nextafter(1.0, 0), 0.9999999999999999, 1023.9999999999999, 1024.0]
+    odd = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, -1.7976931348623157e308, math.inf, -math.inf, *near, *[-x for x in near]]
+    groups = {f"g{i}": [rng.choice(odd) for _ in range(rng.randint(1, 9))] for i in range(60)}
+    groups |= {f"s{i}": [rng.uniform(-1, 1) * 10 ** rng.randint(-300, 300) for _ in range(rng.randint(1, 40))] for i in range(20)}
+    groups["bulk"] = [rng.gauss(100, 1e-13) for _ in range(3000)]
+    df = spark.createDataFrame([(g, v) for g, values in groups.items() for v in values] + [("none", None)], "symbol string, v double")
+    got = {r.symbol: r.v_median for r in column_stats(df, ["v"], ["symbol"], ("median",)).collect()}
+    half = lambda a, b: a if a == b else (a + b) / 2
+    want = {g: half(*(sorted(values)[i] for i in ((len(values) - 1) // 2, len(values) // 2))) for g, values in groups.items()}
+    same = lambda a, b: a == b or (math.isnan(a) and math.isnan(b))
+    assert got.pop("none") is None and got.keys() == want.keys()
+    assert [g for g in want if not same(got[g], want[g])] == []
+
+
+def test_interpolation_takes_time_in_proportion(spark):
+    def seconds(n):
+        df = spark.range(n).select(F.col("id").alias("_ord"), F.lit("A").alias("symbol"), F.col("id").alias("time"), F.when(F.col("id") % 5000 == 0, F.col("id").cast("double")).alias("v"))
+        started = time.perf_counter()
+        assert fill.interpolate(df, ["v"]).where(f"abs(v - least(_ord, {(n - 1) // 5000 * 5000})) > 1e-6").count() == 0
+        return time.perf_counter() - started
+
+    seconds(1000)
+    once = seconds(100_000)
+    assert seconds(400_000) < 8 * once + 2
