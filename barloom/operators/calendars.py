@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barloom.functions.times import micros
-from barloom.operators.combine import anti_times
+from barloom.operators.series import SEGMENT_ROWS, arrange, match_keys, neighbour
 from barloom.schemas import SYMBOL, TIME
 
 #: Frequency -> step inside a day; days themselves are generated first.
 _STEPS = {"D": None, "B": None, "H": "INTERVAL 1 HOUR", "MIN": "INTERVAL 1 MINUTE"}
 _UNITS = {"daily": "DAY", "hourly": "HOUR", "min": "MINUTE"}
 _CELLS_PER_BLOCK = 4096
+#: Seconds between two calendar times, and how many are generated in one array.
+_WIDTHS = {"D": 86_400, "B": 86_400, "H": 3_600, "MIN": 60}
+_GENERATED = 4096
 
 
 def expand_calendar(spans: DataFrame, freq: str, start: str = "start", end: str = "end", out: str = TIME) -> DataFrame:
@@ -49,12 +52,32 @@ def calendar(bars: DataFrame, freq: str, keys=(SYMBOL,), time_col: str = TIME) -
     return expand_calendar(bars.groupBy(*keys).agg(*bounds), freq, out=time_col)
 
 
-def missing_timestamps(bars: DataFrame, freq: str = "D", keys=(SYMBOL,), time_col: str = TIME) -> DataFrame:
-    """Calendar times without a bar, per series. ``B`` knows weekends but no holidays."""
+def missing_timestamps(
+    bars: DataFrame, freq: str = "D", keys=(SYMBOL,), time_col: str = TIME, max_rows: int = SEGMENT_ROWS
+) -> DataFrame:
+    """Calendar times without a bar, per series. ``B`` knows weekends but no holidays.
+
+    No calendar is built: bars on the grid of their series (from its first time, by the step) are made distinct, each looks up the next, and
+    only what lies between two of them, or after the last, is generated. The work follows the bars and what is missing. The
+    look-up runs over segments, so a series that holds most bars is spread.
+    """
     if time_col not in bars.columns:
         raise ValueError(f"time column not found: {time_col}")
-    stamped = bars.select(*keys, F.col(time_col).cast("timestamp").alias(time_col))
-    return anti_times(calendar(stamped, freq, keys, time_col), stamped, (*keys, time_col))
+    if freq.upper() not in _WIDTHS:
+        raise ValueError(f"unsupported frequency: {freq}")
+    width, names = _WIDTHS[freq.upper()] * 1_000_000, {k: f"_k{i}" for i, k in enumerate(keys)}
+    stamped = bars.select(*[F.col(k).alias(v) for k, v in names.items()], micros(F.col(time_col).cast("timestamp")).alias("_t")).filter(F.col("_t").isNotNull())
+    spans = stamped.groupBy(*[F.col(v).alias(f"_s{v}") for v in names.values()]).agg(F.min("_t").alias("_from"), F.max("_t").alias("_to"))
+    placed = stamped.distinct().join(spans, match_keys({v: f"_s{v}" for v in names.values()})).withColumn("_off", F.col("_t") - F.col("_from"))
+    slots = placed.filter(F.expr(f"_off % {width}L = 0")).select(*names.values(), "_from", "_to", F.expr(f"_off div {width}L").alias("_slot"))
+    ahead = neighbour(arrange(slots, list(names.values()), ["_slot"], max_rows), {"_next": F.col("_slot")}, reverse=True).rows()
+    last = F.expr(f"(_to - _from) div {width}L")
+    gaps = ahead.select(*names.values(), "_from", (F.col("_slot") + 1).alias("_lo"), (F.coalesce(F.col("_next"), last + 1) - 1).alias("_hi")).filter("_lo <= _hi")
+    # Long gaps are cut first, so that no array is long.
+    cut = gaps.withColumn("_lo", F.explode(F.expr(f"sequence(_lo, _hi, {_GENERATED}L)")))
+    absent = cut.withColumn("_slot", F.explode(F.expr(f"sequence(_lo, least(_hi, _lo + {_GENERATED - 1}L))")))
+    times = absent.select(*[F.col(v).alias(k) for k, v in names.items()], F.timestamp_micros(F.col("_from") + F.col("_slot") * width).alias(time_col))
+    return times.filter(F.weekday(time_col) < 5) if freq.upper() == "B" else times
 
 
 def with_gap_report(bars: DataFrame, freq: str = "D", keys=(SYMBOL,), time_col: str = TIME):
@@ -196,10 +219,14 @@ def resolve_range_per_symbol(
     universe: DataFrame, bars: DataFrame, end=None, seed=None, today=None
 ) -> DataFrame:
     """The load range of each symbol from its own latest bar, so that nobody's missed days are skipped."""
+    return resolve_range_from(universe, bars.groupBy(SYMBOL).agg(F.max(TIME).alias("latest")), end, seed, today)
+
+
+def resolve_range_from(universe: DataFrame, latest: DataFrame, end=None, seed=None, today=None) -> DataFrame:
+    """The same from each symbol's ``latest`` time, which a stored table has in its marks (``latest_per_symbol``)."""
     now = _day(today) if today else F.current_date()
     last = F.coalesce(_day(end), F.date_sub(now, 1))
-    latest = bars.groupBy(SYMBOL).agg(F.max(TIME).alias("_latest"))
-    first = F.coalesce(F.date_add(F.to_date("_latest"), 1), _day(seed))
+    first = F.coalesce(F.date_add(F.to_date("latest"), 1), _day(seed))
     begin = F.when(first.isNotNull(), F.least(first, last))
     return (
         universe.select(SYMBOL).distinct().join(latest, SYMBOL, "left")
