@@ -97,6 +97,12 @@ def screen_equities(
     return typed.select(*EQUITY_FIELDS, *order, reason.alias("reason"))
 
 
+def accepted_equities(screened: DataFrame, order=(ORD,)) -> DataFrame:
+    """What screening refuses no row of: the first row per (symbol, time), with the order columns."""
+    kept = dedupe_first(screened.filter(F.col("reason").isNull()), (SYMBOL, TIME), tuple(order))
+    return kept.select(*EQUITY_FIELDS, *order)
+
+
 def clean_equities(
     df: DataFrame, policies=EQUITY_POLICIES, order=(ORD,), value=0, max_rows: int = SEGMENT_ROWS,
     for_storage: bool = False,

@@ -11,20 +11,18 @@ from pyspark.sql import functions as F
 from barloom.functions.symbols import upper_symbol
 from barloom.functions.times import iso_utc, micros
 from barloom.operators.aggregates import duplicate_times
-from barloom.operators.calendars import fan_out, range_bounds, resolve_range_per_symbol
+from barloom.operators.calendars import fan_out, range_bounds, resolve_range_from, time_chunks
 from barloom.operators.combine import only_universe
 from barloom.operators.dedupe import dedupe_first
 from barloom.operators.predicates import in_day_range, in_range
 from barloom.operators.project import canonical_symbol, check_asset_type
 from barloom.operators.series import SEGMENT_ROWS
-from barloom.plans.clean import EQUITY_POLICIES, FUTURES_POLICIES, clean_equities, clean_futures, screen_equities
+from barloom.plans.clean import EQUITY_POLICIES, FUTURES_POLICIES, accepted_equities, clean_futures, screen_equities
 from barloom.schemas import EQUITY_SCHEMA, FUTURES_SCHEMA, ORD, SYMBOL, TIME
-from barloom.session import cut_lineage, scratch_path, temporary_copies
-from barloom.sinks.tables import (
-    append_bars, duplicate_findings, insert_new, new_rows, status_findings, validate_row_count, write_findings, write_raw,
-)
+from barloom.session import cut_lineage, path_exists, scratch_path, temporary_copies
+from barloom.sinks.tables import duplicate_findings, insert_counted, insert_new, status_findings, validate_row_count, write_findings, write_raw
 from barloom.sources.landing import load_contracts
-from barloom.sources.stored import read_bars
+from barloom.sources.stored import latest_per_symbol, read_bars, read_marks
 
 
 @dataclass(frozen=True)
@@ -71,7 +69,8 @@ def ingest(
 
     ``landed`` holds the landed bars of the asset class with an ordinal ``_ord``; times may be text. Each
     symbol is loaded from the day after its own latest bar, unless ``start`` is given. Rows of the range, and rows
-    whose time cannot be read, are stored as they came before cleaning. What was stored is what is cleaned.
+    whose time cannot be read, are stored as they came before cleaning. What was stored is what is cleaned, in one pass that
+    tags each row with the reason it is refused for. Latest bars, rows stored before and rows inserted come from the marks of the table.
     Running again over the same range adds nothing to ``table``. ``findings`` names a folder for
     the status of each symbol and the times that landed more than once.
     """
@@ -80,12 +79,11 @@ def ingest(
         keep.add(kept_status)
         spark_schema = FUTURES_SCHEMA if asset == "FUTURE" else EQUITY_SCHEMA
         universe, refused = universe_of(load_contracts(spark, contracts), asset, roll, rank)
-        stored = read_bars(spark, table, schema=spark_schema)
         if start:
             first, last = range_bounds(None, start, end, seed, today)
             spans = universe.select(SYMBOL, F.lit(first).alias("start_date"), F.lit(last).alias("end_date"))
         else:
-            spans = cut_lineage(resolve_range_per_symbol(universe, stored, end, seed, today))
+            spans = cut_lineage(resolve_range_from(universe, latest_per_symbol(spark, table), end, seed, today))
             bounds = spans.agg(F.min("start_date"), F.max("end_date"), F.count_if(F.col("start_date").isNull())).first()
             if bounds[2] or bounds[1] is None:
                 raise ValueError("cannot determine the start date: none given, no stored rows and no seed")
@@ -107,19 +105,19 @@ def ingest(
                 F.min("first_reason").alias("first_reason"), F.min("status").alias("status"),
             )
         else:
-            rows = screen_equities(batch, policies or EQUITY_POLICIES, max_rows=max_rows)
+            rows = cut_lineage(screen_equities(batch, policies or EQUITY_POLICIES, max_rows=max_rows))
             worst = F.min(F.when(F.col("reason").isNotNull(), F.struct(ORD, "reason"))).getField("reason")
             screened = rows.groupBy(SYMBOL).agg(F.count("reason").alias("refused"), worst.alias("first_reason"), F.lit("ok").alias("status"))
-            clean = clean_equities(batch, policies or EQUITY_POLICIES, max_rows=max_rows, for_storage=True)
-        before = stored.count()
-        # The new rows are written once and read for the insert and for the status.
-        new = cut_lineage(new_rows(cut_lineage(clean), table))
-        inserted = append_bars(new, table, grain)
+            clean = accepted_equities(rows)
+        before = read_marks(spark, table).agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+        if asset == "FUTURE":
+            clean = rows = cut_lineage(clean)
+        inserted, new = insert_counted(clean, table, grain=grain, within=rows)
         key = F.col(SYMBOL) if asset == "FUTURE" else upper_symbol(F.col(SYMBOL))
         status = (
             batch.groupBy(key.alias(SYMBOL)).agg(F.count(F.lit(1)).alias("landed"))
             .join(screened, SYMBOL, "left")
-            .join(new.groupBy(SYMBOL).agg(F.count(F.lit(1)).alias("inserted")), SYMBOL, "left")
+            .join(new, SYMBOL, "left")
             .fillna(0, ["refused", "inserted"])
             .withColumn("known", F.col("landed") - F.col("refused") - F.col("inserted"))
             .select(SYMBOL, "landed", "refused", "inserted", "known", F.coalesce("status", F.lit("ok")).alias("status"), "first_reason")
@@ -175,3 +173,32 @@ def backfill_stored(
     with temporary_copies(spark):
         inserted = insert_new(cut_lineage(clean(rows)), table, grain=grain)
     return inserted, work
+
+
+LEDGER = "chunk_start timestamp, chunk_end timestamp, inserted long"
+
+
+def backfill_resumable(
+    spark: SparkSession, bars: DataFrame, universe: DataFrame, start, end, raw: str, table: str, clean, ledger: str, unit: str = "daily",
+    n: int = 100, grain: str = "month",
+) -> DataFrame:
+    """A backfill chunk by chunk, each for all symbols; returns the ledger: every finished chunk with the rows it inserted.
+
+    A chunk is entered when its rows are in the table, so a run that broke goes on with the first chunk that is not there. A chunk
+    that broke is done again: it replaces its own raw rows, and its inserts ignore what is stored. ``clean`` sees one chunk at a time, so fills and adjustments
+    must not reach across chunks.
+    """
+    daily = unit.lower() == "daily"
+    done = {(r.chunk_start, r.chunk_end) for r in spark.read.schema(LEDGER).parquet(ledger).collect()} if path_exists(spark, ledger) else set()
+    # As many rows as the calendar has chunks.
+    for chunk in time_chunks(spark, start, end, unit, n).orderBy("chunk_start").collect():
+        if (chunk.chunk_start, chunk.chunk_end) in done:
+            continue
+        within = in_day_range(chunk.start_text, chunk.end_text) if daily else in_range(chunk.start_text, chunk.end_text)
+        rows = only_universe(bars.filter(within), universe)
+        write_raw(rows, f"{raw.rstrip('/')}/chunk={chunk.chunk_start:%Y%m%dT%H%M%S}", mode="overwrite")
+        with temporary_copies(spark):
+            inserted = insert_new(cut_lineage(clean(rows)), table, grain=grain)
+        entry = spark.createDataFrame([(chunk.chunk_start, chunk.chunk_end, inserted)], LEDGER)
+        entry.coalesce(1).write.mode("append").parquet(ledger)
+    return spark.read.schema(LEDGER).parquet(ledger)

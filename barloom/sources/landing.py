@@ -94,6 +94,13 @@ def read_constituents(spark: SparkSession, path: str, col: str = "Symbol") -> Da
     return named.filter(strip(F.col("ticker")) != "")
 
 
+def _first_records_carry(spark: SparkSession, path: str, fields: list[str], records: int = 100) -> bool:
+    """Whether the first records, one a line, carry all the fields. Folder names of the form ``field=...`` carry theirs."""
+    lines = spark.read.text(path)
+    keys = lines.limit(records).select(F.explode(F.json_object_keys("value")).alias("key")).distinct()
+    return set(fields) <= {r.key for r in keys.collect()} | set(lines.columns)
+
+
 def read_equity_json(
     spark: SparkSession, path: str, symbol_pattern: str | None = None, multi_line: bool = False,
     schema_sample: float = 1.0,
@@ -101,21 +108,22 @@ def read_equity_json(
     """Landed equity records under their stored names, 14 columns and the landing order.
 
     The symbol comes from a ``symbol`` field, a ``symbol=...`` folder, or the file name
-    (``symbol_pattern``, first group). A field that no record carries is an error; it is looked for in
-    the share ``schema_sample`` of the records. Records are then read with a fixed schema.
+    (``symbol_pattern``, first group). A field that no record carries is an error. Records are read once, with a fixed schema: where the
+    first ones carry all fields between them, that settles it. Otherwise (and with ``multi_line``, where
+    records have no line of their own) the fields are looked for in the share ``schema_sample`` of all records first.
     """
     reader = spark.read.option("multiLine", multi_line)
+    expected = [f.name for f in EQUITY_JSON_SCHEMA] + ([] if symbol_pattern else [SYMBOL])
     try:
-        seen = reader.option("samplingRatio", schema_sample).json(path)
+        if multi_line or not _first_records_carry(spark, path, expected):
+            seen = reader.option("samplingRatio", schema_sample).json(path)
+            absent = missing_fields(seen, expected) if seen.columns else []
+            if absent:
+                raise MissingFields(f"equity records lack {absent}; found {seen.columns}")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(path) from error
         raise
-    has_rows = len(seen.columns) > 0
-    expected = [f.name for f in EQUITY_JSON_SCHEMA] + ([] if symbol_pattern else [SYMBOL])
-    absent = missing_fields(seen, expected) if has_rows else []
-    if absent:
-        raise MissingFields(f"equity records lack {absent}; found {seen.columns}")
     schema = T.StructType(EQUITY_JSON_SCHEMA.fields + ([] if symbol_pattern else [T.StructField(SYMBOL, T.StringType())]))
     df = reader.option("mode", "FAILFAST").schema(schema).json(path)
     if symbol_pattern:

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from barloom import sources
 from barloom.functions.symbols import ticker
 from barloom.operators import dedupe
-from barloom.operators.calendars import missing_timestamps
+from barloom.operators.calendars import missing_timestamps, resolve_range_from
 from barloom.schemas import EQUITY_FIELDS, FUTURES_FIELDS
 from barloom.session import scratch_path
 from barloom.sinks import tables as sink
+from barloom.sources.stored import latest_per_symbol
 from barloom.plans import build_universe
 from barloom.workload.registry import query
 from barloom.workload.timeseries import ticker_lists
@@ -191,6 +192,30 @@ def delete_all_then_insert(t):
     return sources.read_bars(t.spark, path).select(*FUTURES_FIELDS)
 
 
+@query(f"SELECT {BAR} FROM hour_bars UNION ALL SELECT {BAR} FROM bars")
+def compact_stored(t):
+    """Two generations of every day, rewritten as one."""
+    path = scratch_path(t.spark, "compact")
+    for rows in (t.bars("hour"), t.bars()):
+        sink.append_bars(rows, path, grain="day")
+    sink.compact_stored(t.spark, path)
+    return sources.read_bars(t.spark, path).select(*FUTURES_FIELDS)
+
+
+@query(
+    """SELECT symbol, CAST(least(CAST(max(time) AS DATE) + 1, DATE '2024-02-29') AS VARCHAR) AS start_date, '2024-02-29' AS end_date FROM hour_bars
+      WHERE NOT (symbol IN ('click', 'view') AND time >= TIMESTAMP '2024-01-20') GROUP BY symbol"""
+)
+def resolve_range_from_marks(t):
+    """Ranges from the marks of a stored table, after a delete that lowers two symbols' latest times."""
+    path = scratch_path(t.spark, "marks")
+    sink.append_bars(t.bars("hour"), path, grain="day")
+    sink.delete_stored(t.spark, path, "2024-01-20", "2100-01-01", ["click", "view"])
+    wanted = t.bars("hour").select("symbol").distinct()
+    spans = resolve_range_from(wanted, latest_per_symbol(t.spark, path), seed="2020-01-01", today="2024-03-01")
+    return spans.withColumns({c: F.col(c).cast("string") for c in ("start_date", "end_date")})
+
+
 @query("SELECT DISTINCT replace(upper(trim(p_brand)), '.', '-') AS value FROM part")
 def export_tickers(t):
     path = scratch_path(t.spark, "tickers")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from barloom.plans import backfill, backfill_stored as into_storage, build_universe, clean_equities, clean_futures, ingest
+from barloom.plans import backfill, backfill_resumable as by_chunks, backfill_stored as into_storage, build_universe, clean_equities, clean_futures, ingest
 from barloom.schemas import EQUITY_FIELD_NAMES, EQUITY_FIELDS, OHLC
 from barloom.session import cut_lineage, scratch_path
 from barloom import sources
@@ -112,7 +112,9 @@ def _landed_json(t):
     rows = t.equities().withColumn("symbol", F.trim("symbol"))
     contracts = _contract_file(t, rows.select("symbol").dropna().distinct(), "EQUITY")
     provider = {stored: given for given, stored in EQUITY_FIELD_NAMES.items()}
-    rows.withColumnsRenamed(provider).coalesce(1).sortWithinPartitions("_ord").drop("_ord").write.option("ignoreNullFields", False).json(landing)
+    # Part files are named in the order of their rows, which is the order the reader gives them.
+    ordered = rows.withColumnsRenamed(provider).repartitionByRange("_ord").sortWithinPartitions("_ord").drop("_ord")
+    ordered.write.option("ignoreNullFields", False).json(landing)
     return sources.read_equity_json(t.spark, landing), contracts
 
 
@@ -250,6 +252,32 @@ def backfill_stored(t):
     return sources.read_bars(t.spark, table).select("symbol", "time", "close", "volume")
 
 
+@query(
+    """WITH chunks AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-03', TIMESTAMP '2024-01-24', INTERVAL 7 DAY)) AS chunk_start)
+    SELECT chunk_start, least(chunk_start + INTERVAL 7 DAY, TIMESTAMP '2024-01-25') AS chunk_end, count(h.time) AS inserted
+    FROM chunks LEFT JOIN hour_bars h ON h.time < least(chunk_start + INTERVAL 7 DAY, TIMESTAMP '2024-01-25') + INTERVAL 1 DAY
+      AND h.time >= CASE WHEN chunk_start = TIMESTAMP '2024-01-03' THEN chunk_start ELSE chunk_start + INTERVAL 1 DAY END GROUP BY chunk_start"""
+)
+def backfill_resumable(t):
+    """Broken in the second chunk, then run again: every chunk is entered once."""
+    raw, table, ledger = (scratch_path(t.spark, n) for n in ("raw", "bars", "ledger"))
+    bars, wanted = _bars(t)
+    calls = []
+
+    def clean(rows):
+        calls.append(1)
+        if len(calls) == 2:
+            raise ConnectionError
+        return rows
+
+    for _ in range(2):
+        try:
+            done = by_chunks(t.spark, bars, wanted, "2024-01-03", "2024-01-25", raw, table, clean, ledger, "daily", 7)
+        except ConnectionError:
+            continue
+    return done
+
+
 def _bars(t):
     bars = t.bars("hour").withColumn("_ord", F.col("volume"))
     return bars, bars.select("symbol").distinct()
