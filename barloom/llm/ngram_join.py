@@ -10,8 +10,9 @@ A joined pair must have sizes that can reach the similarity (length), enough shi
 shingles, counted in eight hash ranges, do not differ more than the pair may differ in all (suffix). The first shared prefix shingle of a linked pair
 passes all three, so no link is lost. Pairs are made distinct and verified once, by the intersection of the whole sets.
 
-Members of a large group of near copies are not joined with each other. In a round every set is compared with one set only, the leader (a new one each
-round) of one of its prefix shingles; linked sets are one component from then on, and shingles whose holders are all one component are settled. Rounds
+Members of a large group of near copies are not joined with each other. In a round every set is compared with one set only, the leader
+of one of its prefix shingles: first the set with the fewest rarer shingles of its own, then a new one each
+round. Linked sets are one component from then on, and shingles whose holders are all one component are settled. Rounds
 go on while they link; only what different components still share is joined in full.
 
 Defined results. A null text counts as empty. Words are runs of anything but space and \\t\\n\\v\\f\\r, with A-Z lower-cased. Fewer words than a
@@ -155,15 +156,18 @@ def _prefixes(sets: DataFrame, num: int, den: int, counted: int) -> DataFrame:
     """Rows (token, set, n, pos, shingles per part behind it) of the prefix shingles that more than one set counts."""
     told = sets.where("n > 0").select("set", F.explode("tokens").alias("token"))
     often = told.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
-    ranked = told.join(often, "token", "left").groupBy("set").agg(F.collect_list(F.struct("token", "often")).alias("told"))
-    rows = ranked.join(sets.select("set", "n", "parts"), "set").where(F.exists("told", lambda t: t["often"].isNotNull()))
-    rows = rows.select("set", "n", "parts", F.transform("told", lambda t: t["token"]).alias("tokens"), F.transform("told", lambda t: F.coalesce(t["often"], F.lit(1))).alias("often"))
+    shared = told.join(often, "token").groupBy("set").agg(F.collect_list(F.struct("token", "often")).alias("shared"))
+    rows = shared.join(sets.select("set", "n", "parts", "tokens"), "set").select(
+        "set", "n", "parts", "tokens", F.transform("shared", lambda t: t["token"]).alias("shared"), F.transform("shared", lambda t: t["often"]).alias("often")
+    )
     names = [c.split()[0] for c in PREFIX.split(", ")]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for place, n, parts, tokens, often in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *(batch.column(i) for i in (2, 3, 4))):
-            tokens, often = tokens.values.to_numpy().view(np.uint64), often.values.to_numpy()
+        for place, n, parts, tokens, shared, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *(batch.column(i) for i in (2, 3, 4, 5))):
+            tokens, shared = (x.values.to_numpy().view(np.uint64) for x in (tokens, shared))
+            often = np.ones(len(tokens), np.int64)
+            often[np.searchsorted(tokens, shared)] = counts.values.to_numpy()
             late = tokens % np.uint64(counted) != 0
             order = np.lexsort((tokens, often, late))[: prefix_length(n, num, den)]
             tokens, often = tokens[order], often[order]
@@ -227,12 +231,13 @@ def similar_sets(prefixes: DataFrame, full: DataFrame, num: int, den: int) -> Da
     rows, number = _labelled(prefixes.withColumn("band", band), roots), 0
     while True:
         number += 1
-        place = F.xxhash64("set", F.lit(number))
+        # The fewer rare shingles a set has before the shared one, the nearer it is to all that share it: such sets lead first.
+        rank = lambda side: F.struct(F.col(f"{side}pos") if number == 1 else F.lit(0), F.xxhash64(f"{side}set", F.lit(number)), f"{side}set")
         told = F.struct(*[F.col(c) for c in rows.columns if c not in ("token", "band")])
-        leaders = rows.groupBy("token", "band").agg(F.min_by(told, F.struct(place, "set")).alias("l"))
+        leaders = rows.groupBy("token", "band").agg(F.min_by(told, rank("")).alias("l"))
         leaders = leaders.select("token", "band", "l.*")
         tried = rows.alias("m").join(leaders.alias("l"), ["token", "band"]).where((F.col("m.label") != F.col("l.label")) & _reaches("m", "l", num, den))
-        tried = tried.groupBy(F.col("m.set").alias("a")).agg(F.min_by(F.col("l.set"), F.xxhash64("l.set", F.lit(number))).alias("b"))
+        tried = tried.groupBy(F.col("m.set").alias("a")).agg(F.min_by(F.col("l.set"), rank("l.")).alias("b"))
         tried = cut_lineage(tried)
         linked = cut_lineage(_verified(tried, full, num, den))
         pairs, new = tried.count(), linked.count()
