@@ -1,5 +1,6 @@
 import pytest
 
+from barloom.llm import decontaminate
 from barloom.llm.decontaminate import Budget, Index, clean, find_in_texts, find_passages, normalise
 
 DOCS, ITEMS = "doc_id long, text string", "item_id long, text string"
@@ -41,17 +42,22 @@ def test_every_stretch_within_the_budget_is_found_and_no_other(rng):
         assert all(f[4] <= k for f in found)
 
 
-def test_tables(spark, rng):
+def test_tables(spark, rng, monkeypatch):
     items = [(i, words(rng, 20)) for i in range(12)] + [(50, None), (51, "too short"), (None, words(rng, 20))]
     docs = [(i, words(rng, 40)) for i in range(30)] + [(None, f"{words(rng, 9)}\n{items[0][1].upper()}!"), (None, None), (99, "")]
     docs += [(100 + i, f"{words(rng, 5)}, {text}; {words(rng, 5)}") for i, text in items[:12]]
     docs += [(200, docs[-1][1]), (200, docs[-1][1])]
-    d = spark.createDataFrame([(*r, 1, "x") for r in docs], f"{DOCS}, item_id int, edits string")
+    items += [(77, items[11][1]), (77, items[11][1])]
+    d = spark.createDataFrame([(*r, 1, "x", "y") for r in docs], f"{DOCS}, item_id int, edits string, held string")
     b = spark.createDataFrame(items, ITEMS)
-    for block_chars in (1 << 20, 300):  # one block, several
-        budget = Budget(window=60, step=20, q=8, block_chars=block_chars)
-        got = {(r.doc_id, r.item_id) for r in find_passages(d, b, budget).collect()}
-        assert got == {(100 + i, i) for i in range(12)} | {(None, 0), (200, 11)}
+    monkeypatch.setattr(decontaminate, "SLICE", 7)
+    for part, region, read in ((1 << 16, 1 << 16, 1 << 20), (100, 90, 120)):  # whole texts, several pieces
+        for name, value in (("PART", part), ("REGION", region), ("READ", read)):
+            monkeypatch.setattr(decontaminate, name, value)
+        budget = Budget(window=60, step=20, q=8)
+        rows = find_passages(d, b, budget).collect()
+        assert {(r.doc_id, r.item_id) for r in rows} == {(100 + i, i) for i in range(12)} | {(None, 0), (200, 11), (200, 77)} | {(111, 77)}
+        assert len([r for r in rows if r.doc_id == 200]) % 2 == 0
         kept = clean(d, b, budget)
         assert kept.columns == d.columns
         assert sorted(str(r.doc_id) for r in kept.collect()) == sorted([str(i) for i in range(30)] + ["None", "99"])
@@ -84,3 +90,17 @@ def test_every_passage_of_least_chars_is_found(rng):
             reworded = reworded[:at] + "zzzzzzzz" + reworded[at + 8 :]
         assert i in {f[1] for f in find_in_texts([reworded], index)}
     assert not list(find_in_texts([words(rng, 3000)], index))
+
+
+def test_rows_against_one_index_of_all_items(spark, rng):
+    """The same stretches as a search of whole texts for all items at once finds."""
+    items = [(i, words(rng, rng.choice([8, 40, 300]))) for i in range(15)]
+    docs = []
+    for i in range(60):
+        item = rng.choice(items)[1]
+        at = rng.randrange(max(1, len(item) - 60))
+        docs.append((i, f"{words(rng, 20)} {edited(rng, item[at : at + rng.choice([50, 90, 400])], rng.randint(0, 6))} {words(rng, 20)}"))
+    index = Index(items, Budget())
+    want = {(i, index.items[item], begin, end, edits) for i, text in docs for _, item, begin, end, edits in find_in_texts([text], index)}
+    got = {tuple(r) for r in find_passages(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    assert got == want and len({i for i, *_ in want}) > 30
