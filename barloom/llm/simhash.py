@@ -280,8 +280,8 @@ def similar_pairs(sets: list[np.ndarray], similarity: float) -> Iterator[tuple[i
 
 
 def text_key(text: str) -> Column:
-    """A number for each different text; null counts as empty."""
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    """128 bits that name a text, as hex; null counts as empty."""
+    return F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
 
 
 def similar_texts(
@@ -299,7 +299,7 @@ def similar_texts(
         keys = [k.view(np.int64) for _, k in found]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints), pa.array(keys, pa.list_(pa.int64()))], names=["node", "fp", "keys"])
 
-    marked = cut_lineage(map_batches(rows, run, "node long, fp long, keys array<long>"))
+    marked = cut_lineage(map_batches(rows, run, "node string, fp long, keys array<long>"))
     bands = marked.select("fp", F.posexplode("keys").alias("mask", "key")).distinct()
     near = connected_components(bucket_links(bands, radius, chunk))
     nodes = marked.select("node", "fp").distinct()
@@ -324,7 +324,7 @@ def _compare(texts: DataFrame, shingle: int, similarity: float, chunk_chars: int
 
         def links() -> pa.RecordBatch:
             found = list(similar_pairs(sets, similarity)) if len(sets) > 1 else []
-            ends = [pa.array([nodes[pair[side]] for pair in found], pa.int64()) for side in (0, 1)]
+            ends = [pa.array([nodes[pair[side]] for pair in found], pa.string()) for side in (0, 1)]
             return pa.RecordBatch.from_arrays(ends, names=["a", "b"])
 
         for whole in batches:
@@ -340,4 +340,4 @@ def _compare(texts: DataFrame, shingle: int, similarity: float, chunk_chars: int
         if sets:
             yield links()
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(run, "a string, b string")

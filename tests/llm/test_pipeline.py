@@ -71,3 +71,18 @@ def test_odd_rows(spark, tmp_path):
         for table in ("labels", "benchmark"):
             spark.read.parquet(f"{FOLDER}/{table}.parquet").limit(0 if name == "none" else 20).write.parquet(str(folder / f"{table}.parquet"))
         assert corpus_pipeline.run(spark, str(folder)).count() <= len(data)
+
+
+def test_columns_of_any_name_come_through(spark, tmp_path):
+    """Names that the stages use for their own columns are a table's names like others."""
+    names = ["_text", "_root", "_place", "known", "known_id", "name_0", "ROOT_0", "place_0", "quality_0", "held", "key", "node", "row"]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    wide = docs.selectExpr("*", *[f"concat('{n} of ', doc_id) AS `{n}`" for n in names])
+    narrow = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        wide, narrow = (corpus_pipeline.cut_lineage(stage(spark, df, FOLDER)) for df in (wide, narrow))
+        assert wide.columns == [*docs.columns, *names]
+    rows = wide.collect()
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in narrow.collect())
+    assert all(r[n] == f"{n} of {r.doc_id}" for r in rows for n in names)
+    assert "text" in corpus_pipeline.STAGES[-1][1](spark, wide, FOLDER).columns
