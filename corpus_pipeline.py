@@ -3,7 +3,8 @@
 The classifier drops documents of low quality; repeated long lines go; of near-duplicates (five-word shingles, Jaccard similarity 0.8 or
 more, directly or over a chain) one row stays: the smallest identifier, nulls last, then by hash of the text and of the row; documents that hold benchmark passages go; what is left is encoded, and decoded again. Every stage but the last returns the columns of
 its input; a changed text brings its ``n_chars`` along. Null and repeated identifiers, null texts and empty tables are treated as the operators
-say; of repeated rows one stays. Rows are judged by their texts, so different texts stay, whatever identifiers they share or lack.
+say; of repeated rows one stays. Rows are judged by their texts, so different texts stay, whatever identifiers they share or lack. Further columns of the
+table, whatever their names, come through all stages but the last, which returns its own.
 """
 
 from __future__ import annotations
@@ -16,10 +17,17 @@ from barloom.llm.common import cut_lineage, table
 from barloom.llm.queries import GOOD, held_out, tokenizer
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of the table has, in any spelling."""
+    taken = {c.lower() for c in docs.columns}
+    return [next(f"{name}_{i}" for i in range(len(taken) + 1) if f"{name}_{i}" not in taken) for name in names]
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose lines are labelled good as a whole."""
-    model = line_quality.train(docs, table(spark, sf_dir, "labels").where(~held_out()))
-    return line_quality.score(docs, model, out="_quality").where(F.col("_quality") >= GOOD).drop("_quality")
+    model = line_quality.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels").where(~held_out()))
+    (quality,) = free_names(docs, "quality")
+    return line_quality.score(docs, model, out=quality).where(F.col(quality) >= GOOD).select(docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,10 +40,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates."""
-    roots = simhash.similar_texts(docs).select(F.col("node").alias("_text"), "root")
-    grouped = docs.withColumn("_text", simhash.text_key("text")).join(roots.withColumnRenamed("root", "_root"), "_text", "left")
-    first = Window.partitionBy(F.coalesce("_root", "_text")).orderBy(F.col("doc_id").asc_nulls_last(), "_text", F.xxhash64(*docs.columns))
-    return grouped.withColumn("_place", F.row_number().over(first)).where("_place = 1").select(docs.columns)
+    name, root, place = free_names(docs, "name", "root", "place")
+    roots = simhash.similar_texts(docs).select(F.col("node").alias(name), F.col("root").alias(root))
+    grouped = docs.withColumn(name, simhash.text_key("text")).join(roots, name, "left")
+    first = Window.partitionBy(F.coalesce(root, name)).orderBy(F.col("doc_id").asc_nulls_last(), name, F.xxhash64(*docs.columns))
+    return grouped.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).select(docs.columns)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
