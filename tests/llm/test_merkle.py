@@ -79,7 +79,7 @@ def test_manifest_against_a_plain_tree(spark, rng, height, segment_rows):
     assert all((r.folded_root == r.root) == (change(row) == row) for r, row in zip(got, got) for row in [next(x for x in rows if leaf(x) == bytes(r.leaf).hex())])
 
 
-@pytest.mark.parametrize("n", [0, 1, 2, 3, 8, 9])
+@pytest.mark.parametrize("n", [0, 1, 3, 9])
 def test_small_tables(spark, n):
     rows = [(i, "s", "en", i, "t") for i in range(n)]
     got = merkle.manifest(spark.createDataFrame(rows, SCHEMA), height=2).collect()

@@ -47,7 +47,7 @@ def got(df):
     return sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in df.collect())
 
 
-@pytest.mark.parametrize("counted", [1, 4, 64])
+@pytest.mark.parametrize("counted", [1, 4])
 def test_components_against_brute_force(spark, rng, counted):
     rows = list(enumerate(documents(rng)))
     rows += [(None, rows[3][1]), (None, None), (900, None), (901, ""), (902, " \n"), (None, "only here it stands"), (7, rows[8][1]), (7, rows[8][1]), (903, "É É é a"), (904, "é é é a")]
