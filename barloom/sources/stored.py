@@ -76,18 +76,18 @@ def folder_name(generation: str | None, period) -> str:
     return day if generation is None else f"{GENERATION}={generation}/{day}"
 
 
-def read_folders(spark: SparkSession, path: str, folders) -> DataFrame:
+def read_folders(spark: SparkSession, path: str, folders, merge_schema: bool = False) -> DataFrame:
     """The rows of some folders of a table, with their ``gen`` (NULL for folders from before the first commit) and ``period``."""
     base = path.rstrip("/")
     parts = []
     for committed in (True, False):
         chosen = [f"{base}/{f}" for f in folders if f.startswith(f"{GENERATION}=") == committed]
         if chosen:
-            df = spark.read.option("basePath", base).parquet(*chosen)
+            df = spark.read.option("basePath", base).option("mergeSchema", merge_schema).parquet(*chosen)
             if df.schema[PERIOD].dataType != T.DateType():
                 df = df.withColumn(PERIOD, F.col(PERIOD).cast("date"))
             parts.append(df if committed else df.withColumn(GENERATION, F.lit(None).cast("string")))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=merge_schema)
 
 
 def read_stored(spark: SparkSession, path: str, schema: T.StructType, state: Snapshot | None = None) -> DataFrame:
@@ -145,8 +145,8 @@ def read_bars(
     """
     is_path = "/" in source or ":" in source
     state = snapshot(spark, source) if is_path else None
-    if state and state.folders and not merge_schema:
-        df = read_folders(spark, source, state.folders).drop(GENERATION)
+    if state and state.folders:
+        df = read_folders(spark, source, state.folders, merge_schema).drop(GENERATION)
     elif state and (state.version or schema is not None):
         return spark.createDataFrame([], schema or T.StructType([]))
     else:

@@ -174,3 +174,11 @@ def test_a_broken_backfill_goes_on_with_the_chunk_that_broke(spark, tmp_path):
     assert spark.read.parquet(raw).count() == 10  # the day between two chunks belongs to both
     run()
     assert len(seen) == 3
+
+
+def test_columns_that_came_later_are_read_on_demand(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sink.append_bars(bars(spark, ("A", 0, 0)), path)
+    sink.append_bars(bars(spark, ("A", 1, 1)).selectExpr("*", "'x' AS venue"), path)
+    assert sorted(str(r.venue) for r in sources.read_bars(spark, path, merge_schema=True).collect()) == ["None", "x"]
+    assert sources.read_bars(spark, path).count() == 2
