@@ -6,8 +6,9 @@ are joined; what only one set holds is never sent. How often a shingle occurs is
 so counted ones come first in the order and are one hash class in ``counted``; a set with fewer of them than its prefix needs counts (and looks
 up) all its shingles. Results do not depend on it: any order that all sets share is a right one.
 
-A joined pair must have sizes that can reach the similarity (length), enough shingles left behind the shared place (positional), and suffixes whose
-shingles, counted in eight hash ranges, do not differ more than the pair may differ in all (suffix). The first shared prefix shingle of a linked pair
+A joined pair must have sizes that can reach the similarity (length), enough shingles left behind the shared place (positional), and suffixes that
+do not differ more than the pair may differ in all (suffix): each suffix is divided into 512 hash ranges, and the ranges in which one suffix has an odd and
+the other an even number of shingles differ in one shingle at least. The first shared prefix shingle of a linked pair
 passes all three, so no link is lost. Pairs are made distinct and verified once, by the intersection of the whole sets.
 
 Members of a large group of near copies are not joined with each other. In a round every set is compared with one set only, the leader
@@ -36,7 +37,7 @@ from pyspark.sql import types as T
 from barloom.llm.common import cut_lineage, map_batches, strings
 from barloom.llm.components import connected_components
 
-PARTS = 8  # hash ranges of the suffix filter, by the upper three bits
+WORDS = 8  # of 64 hash ranges each, for the suffix filter
 #: Bytes hashed at once, cut between words.
 BLOCK = 1 << 20
 _ONE, _TWO = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -109,6 +110,14 @@ def prefix_length(size: int, num: int, den: int) -> int:
     return size - least_overlap(size, num, den) + 1
 
 
+def range_bits(hashes: np.ndarray) -> np.ndarray:
+    """Per shingle a row of words with the bit of its hash range set: the upper nine bits."""
+    place = (hashes >> np.uint64(55)).astype(np.int64)
+    bits = np.zeros((len(hashes), WORDS), np.uint64)
+    bits[np.arange(len(hashes)), place >> 6] = np.uint64(1) << (place & 63).astype(np.uint64)
+    return bits
+
+
 def _signed(values: np.ndarray) -> np.ndarray:
     return values.view(np.int64)
 
@@ -125,7 +134,7 @@ def text_name(text: str) -> Column:
 
 
 def _marked(docs: DataFrame, doc_id: str, text: str, shingle: int, num: int, den: int, counted: int) -> DataFrame:
-    """Per row: identifier, name of the text, digest and size of its set, the shingles it counts, its shingles per part."""
+    """Per row: identifier, name of the text, digest and size of its set, the shingles it counts, the ranges with an odd number of shingles."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_name(text).alias("name"), F.col(text).alias("text"))
     schema = T.StructType(
         [T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("name", T.StringType()), T.StructField("key", T.BinaryType()),
@@ -139,7 +148,7 @@ def _marked(docs: DataFrame, doc_id: str, text: str, shingle: int, num: int, den
         for s in sets:
             first = s[s % np.uint64(counted) == 0]
             told.append(_signed(first if len(first) >= prefix_length(len(s), num, den) else s))
-        parts = [np.bincount((s >> np.uint64(61)).astype(np.int64), minlength=PARTS) for s in sets]
+        parts = [_signed(np.bitwise_xor.reduce(range_bits(s), axis=0)) for s in sets]
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(keys, pa.binary()), pa.array([len(s) for s in sets], pa.int64()), _lists(told, pa.int64()), _lists(parts, pa.int64())],
             names=schema.names,
@@ -148,12 +157,12 @@ def _marked(docs: DataFrame, doc_id: str, text: str, shingle: int, num: int, den
     return map_batches(rows, run, schema)
 
 
-SUFFIX = [f"s{i}" for i in range(PARTS)]
+SUFFIX = [f"s{i}" for i in range(WORDS)]
 PREFIX = "token long, set long, n long, pos long, " + ", ".join(f"{c} long" for c in SUFFIX)
 
 
 def _prefixes(sets: DataFrame, num: int, den: int, counted: int) -> DataFrame:
-    """Rows (token, set, n, pos, shingles per part behind it) of the prefix shingles that more than one set counts."""
+    """Rows (token, set, n, pos, odd ranges of what is behind it) of the prefix shingles that more than one set counts."""
     told = sets.where("n > 0").select("set", F.explode("tokens").alias("token"))
     often = told.groupBy("token").agg(F.count(F.lit(1)).alias("often")).where("often > 1")
     shared = told.join(often, "token").groupBy("set").agg(F.collect_list(F.struct("token", "often")).alias("shared"))
@@ -171,9 +180,7 @@ def _prefixes(sets: DataFrame, num: int, den: int, counted: int) -> DataFrame:
             late = tokens % np.uint64(counted) != 0
             order = np.lexsort((tokens, often, late))[: prefix_length(n, num, den)]
             tokens, often = tokens[order], often[order]
-            seen = np.zeros((len(tokens), PARTS), np.int64)
-            seen[np.arange(len(tokens)), (tokens >> np.uint64(61)).astype(np.int64)] = 1
-            rest = parts.values.to_numpy() - np.cumsum(seen, axis=0)
+            rest = parts.values.to_numpy() ^ _signed(np.bitwise_xor.accumulate(range_bits(tokens), axis=0))
             held = np.flatnonzero(often > 1)
             fixed = [_signed(tokens[held]), np.full(len(held), place), np.full(len(held), n), held + 1]
             out.append(np.column_stack([*fixed, rest[held]]))
@@ -202,7 +209,7 @@ def _reaches(a: str, b: str, num: int, den: int) -> Column:
     need = F.expr(f"({num} * ({a}.n + {b}.n) + {num + den - 1}) div {num + den}")
     length = (den * F.least(na, nb)) >= (num * F.greatest(na, nb))
     positional = 1 + F.least(na - ia, nb - ib) >= need
-    apart = reduce(lambda x, y: x + y, [F.abs(F.col(f"{a}.{c}") - F.col(f"{b}.{c}")) for c in SUFFIX])
+    apart = reduce(lambda x, y: x + y, [F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in SUFFIX])
     return length & positional & ((ia - 1) + (ib - 1) + apart <= both - 2 * need)
 
 

@@ -2,6 +2,7 @@
 
 from itertools import combinations
 
+import numpy as np
 import pytest
 
 from barloom.llm import ngram_join
@@ -80,6 +81,15 @@ def test_empty_table_and_long_text(spark, rng):
     assert got(similar_documents(spark.createDataFrame(rows, SCHEMA))) == plain(rows)
 
 
+def test_odd_ranges_never_overstate_a_difference(rng):
+    draw = lambda n: {rng.getrandbits(64) for _ in range(n)}
+    for _ in range(200):
+        both, left, right = draw(rng.randint(0, 300)), draw(rng.randint(0, 40)), draw(rng.randint(0, 40))
+        odd = [np.bitwise_xor.reduce(ngram_join.range_bits(np.array(sorted(s), np.uint64)), axis=0) for s in (both | left, both | right)]
+        apart = sum(int(x).bit_count() for x in odd[0] ^ odd[1])
+        assert apart <= len(left ^ right) and apart % 2 == len(left ^ right) % 2
+
+
 def test_filters_pass_every_linked_pair(rng):
     """The bounds themselves, on sets at the threshold."""
     for _ in range(300):
