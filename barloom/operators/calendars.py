@@ -14,7 +14,7 @@ from barloom.schemas import SYMBOL, TIME
 #: Frequency -> step inside a day; days themselves are generated first.
 _STEPS = {"D": None, "B": None, "H": "INTERVAL 1 HOUR", "MIN": "INTERVAL 1 MINUTE"}
 _UNITS = {"daily": "DAY", "hourly": "HOUR", "min": "MINUTE"}
-_CELLS_PER_BLOCK = 4096
+_CELLS_PER_BLOCK = 1 << 20
 #: Seconds between two calendar times, and how many are generated in one array.
 _WIDTHS = {"D": 86_400, "B": 86_400, "H": 3_600, "MIN": 60}
 _GENERATED = 4096
@@ -65,7 +65,7 @@ def missing_timestamps(
         raise ValueError(f"time column not found: {time_col}")
     if freq.upper() not in _WIDTHS:
         raise ValueError(f"unsupported frequency: {freq}")
-    width, names = _WIDTHS[freq.upper()] * 1_000_000, {k: f"_k{i}" for i, k in enumerate(keys)}
+    width, names = _WIDTHS[freq.upper()] * 1_000_000, {k: f"_key{i}" for i, k in enumerate(keys)}
     stamped = bars.select(*[F.col(k).alias(v) for k, v in names.items()], micros(F.col(time_col).cast("timestamp")).alias("_t")).filter(F.col("_t").isNotNull())
     spans = stamped.groupBy(*[F.col(v).alias(f"_s{v}") for v in names.values()]).agg(F.min("_t").alias("_from"), F.max("_t").alias("_to"))
     placed = stamped.distinct().join(spans, match_keys({v: f"_s{v}" for v in names.values()})).withColumn("_off", F.col("_t") - F.col("_from"))

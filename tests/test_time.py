@@ -37,6 +37,31 @@ def test_calendar_needs_a_known_frequency_and_time_column(spark):
         calendars.missing_timestamps(times(spark, FRI).drop("time"), "D")
 
 
+@pytest.mark.parametrize("freq, longest", [("D", 9), ("B", 9), ("H", 1.5), ("min", 0.02)])
+def test_missing_times_against_the_whole_calendar(spark, freq, longest):
+    rnd = random.Random(5)
+    rows = []
+    for symbol in ("A", "B", None, "one"):
+        at = datetime(2024, 1, 30, 10, 0, 0, 1)
+        for _ in range(1 if symbol == "one" else 25):
+            rows += [(symbol, at)] * rnd.choice([1, 1, 3])
+            at += rnd.choice([timedelta(minutes=1), timedelta(hours=1), timedelta(days=1), timedelta(seconds=rnd.random() * longest * 86_400)])
+    rows += [("A", None), ("none", None)]
+    df = spark.createDataFrame(rows, "symbol string, time timestamp")
+    whole = {tuple(r) for r in calendars.calendar(df, freq).select("symbol", "time").collect()}
+    for max_rows in (7, 1_000_000):
+        got = [tuple(r) for r in calendars.missing_timestamps(df, freq, max_rows=max_rows).select("symbol", "time").collect()]
+        assert len(got) == len(set(got)) > 0 and set(got) == whole - set(rows)
+
+
+def test_missing_times_follow_the_gaps(spark):
+    """No calendar in the plan, and a gap longer than an array of times."""
+    df = times(spark, datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1), datetime(2024, 3, 1))
+    missing = calendars.missing_timestamps(df, "min")
+    assert missing.count() == 60 * 24 * 60 - 2
+    assert "LeftAnti" not in missing._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_gaps_between_days(spark):
     df = times(spark, datetime(2024, 3, 4), datetime(2024, 3, 1), datetime(2024, 3, 3), datetime(2024, 3, 3))
     assert [tuple(r) for r in calendars.list_gaps(df).collect()] == [(datetime(2024, 3, 1), datetime(2024, 3, 3))]
