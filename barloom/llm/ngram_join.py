@@ -13,8 +13,8 @@ passes all three, so no link is lost. Pairs are made distinct and verified once,
 
 Members of a large group of near copies are not joined with each other. In a round every set is compared with one set only, the leader
 of one of its prefix shingles: first the set with the fewest rarer shingles of its own, then a new one each
-round. Linked sets are one component from then on, and shingles whose holders are all one component are settled. Rounds
-go on while they link; only what different components still share is joined in full.
+round. Linked sets have one label from then on, and shingles whose holders all have one label are settled. Rounds
+go on while most of their pairs link; only what sets of different labels still share is joined in full.
 
 Defined results. A null text counts as empty. Words are runs of anything but space and \\t\\n\\v\\f\\r, with A-Z lower-cased. Fewer words than a
 shingle needs are one shingle; no words give an empty set, linked with nothing, each row its own component. Repeated rows are one set. Null identifiers never
@@ -214,28 +214,36 @@ def _reaches(a: str, b: str, num: int, den: int) -> Column:
 
 
 def _verified(pairs: DataFrame, full: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach the similarity."""
+    """The rows of pairs (a, b and others) whose sets reach the similarity."""
     left = full.select(F.col("set").alias("a"), F.col("tokens").alias("_a"))
     right = full.select(F.col("set").alias("b"), F.col("tokens").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
     met = pairs.join(left, "a").join(right, "b")
-    return met.where((num + den) * both >= num * (F.size("_a") + F.size("_b"))).select("a", "b")
+    return met.where((num + den) * both >= num * (F.size("_a") + F.size("_b"))).select(pairs.columns)
 
 
-def _labelled(prefixes: DataFrame, roots: DataFrame) -> DataFrame:
-    """Prefix rows with the component of their set; shingles whose holders are all one component are settled and go."""
-    rows = prefixes.drop("label").join(roots.select(F.col("node").alias("set"), "root"), "set", "left").withColumn("label", F.coalesce("root", "set")).drop("root")
-    open_ = rows.groupBy("token").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).where("_l <> _m").select("token")
-    return cut_lineage(rows.join(open_, "token"))
+def _relabelled(rows: DataFrame, linked: DataFrame) -> DataFrame:
+    """Rows with coarser labels after new links (between labels la, lb), without the shingles whose holders have one label.
+
+    Equal labels mean connected sets, but connected sets may have different labels: two steps towards the smallest neighbour are taken, no more.
+    """
+    edges = linked.select("la", "lb").union(linked.select("lb", "la"))
+    least = cut_lineage(edges.groupBy(F.col("la").alias("label")).agg(F.least(F.first("la"), F.min("lb")).alias("next")))
+    again = least.select(F.col("label").alias("next"), F.col("next").alias("last"))
+    new = least.join(again, "next", "left").select("label", F.coalesce("last", "next").alias("new"))
+    return _open(rows.join(new, "label", "left").withColumn("label", F.coalesce("new", "label")).drop("new"))
+
+
+def _open(rows: DataFrame) -> DataFrame:
+    """Rows of the shingles whose holders have several labels."""
+    several = rows.groupBy("token").agg(F.min("label").alias("_l"), F.max("label").alias("_m")).where("_l <> _m").select("token")
+    return cut_lineage(rows.join(several, "token"))
 
 
 def similar_sets(prefixes: DataFrame, full: DataFrame, num: int, den: int) -> DataFrame:
     """root (smallest set reachable over links) of every set that is not its own root, as (node, root)."""
-    spark = prefixes.sparkSession
-    roots = spark.createDataFrame([], "node long, root long")
-    links = spark.createDataFrame([], "a long, b long")
     band = F.floor(F.log(F.col("n").cast("double")) / log(den / num)).cast("long")
-    rows, number = _labelled(prefixes.withColumn("band", band), roots), 0
+    rows, links, number = _open(prefixes.withColumns({"band": band, "label": F.col("set")})), [], 0
     while True:
         number += 1
         # The fewer rare shingles a set has before the shared one, the nearer it is to all that share it: such sets lead first.
@@ -244,23 +252,24 @@ def similar_sets(prefixes: DataFrame, full: DataFrame, num: int, den: int) -> Da
         leaders = rows.groupBy("token", "band").agg(F.min_by(told, rank("")).alias("l"))
         leaders = leaders.select("token", "band", "l.*")
         tried = rows.alias("m").join(leaders.alias("l"), ["token", "band"]).where((F.col("m.label") != F.col("l.label")) & _reaches("m", "l", num, den))
-        tried = tried.groupBy(F.col("m.set").alias("a")).agg(F.min_by(F.col("l.set"), rank("l.")).alias("b"))
-        tried = cut_lineage(tried)
+        best = F.min_by(F.struct(F.col("l.set").alias("b"), F.col("l.label").alias("lb")), rank("l."))
+        tried = tried.groupBy(F.col("m.set").alias("a"), F.col("m.label").alias("la")).agg(best.alias("l"))
+        tried = cut_lineage(tried.select("a", "la", "l.*"))
         linked = cut_lineage(_verified(tried, full, num, den))
         pairs, new = tried.count(), linked.count()
         if new:
-            links = links.unionByName(linked)
-            roots = connected_components(links)
-            rows = _labelled(rows, roots)
-        if new * 10 < pairs or not pairs:
+            links.append(linked.select("a", "b"))
+            rows = _relabelled(rows, linked)
+            full = cut_lineage(full.join(rows.select("set").distinct(), "set", "left_semi"))
+        if new * 2 < pairs or not pairs:
             break
     # Sizes of a pair lie in one band or in two neighbouring ones.
     smaller = rows.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
     order = (F.col("a.n") < F.col("b.n")) | ((F.col("a.n") == F.col("b.n")) & (F.col("a.set") < F.col("b.set")))
     met = smaller.alias("a").join(rows.alias("b"), ["token", "band"]).where((F.col("a.label") != F.col("b.label")) & order & _reaches("a", "b", num, den))
     pairs = cut_lineage(met.select(F.col("a.set").alias("a"), F.col("b.set").alias("b")).distinct())
-    last = cut_lineage(_verified(pairs, full, num, den))
-    return connected_components(links.unionByName(last)) if last.count() else roots
+    links.append(_verified(pairs, full, num, den))
+    return connected_components(reduce(DataFrame.unionByName, links))
 
 
 def similar_documents(
